@@ -1,5 +1,66 @@
-"""Placeholder registry, filled in below."""
+"""Registered streaming queries: the driver's ``events`` (and ``part``) tables read as
+file streams, run through the streaming jobs with ``availableNow`` into upsert tables
+under the shared checkpoint folder, and returned as the tables' current state.
+
+Each file is one micro-batch here, so no event is dropped by the watermark and the
+final tables equal the batch results (the oracle is the batch SQL).  Late drops over
+several micro-batches are covered by tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from playlog.session import prepare, scratch_path
+from playlog.sources import fixtures
+from playlog.streaming import jobs
+
+
+def _catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").schema
+    part = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/part*.parquet")
+    cols = part.select("p_partkey", "p_name", "p_type", "p_size")
+    return (cols.selectExpr(*fixtures.SPARK_CAT_VERSIONS)
+                .selectExpr(*fixtures.quoted(fixtures.CAT_BODY, "`")))
+
+
+def _run(spark: SparkSession, sf_dir: str, name: str, kinds, with_catalog: bool = False
+         ) -> jobs.Paths:
+    prepare(spark)
+    paths = jobs.Paths(scratch_path(spark, name))
+    raw = fixtures.raw_messages_from(fixtures.events_stream(spark, sf_dir))
+    changelog = _catalog_stream(spark, sf_dir) if with_catalog else None
+    jobs.run(spark, raw, paths, changelog, kinds=kinds)
+    return paths
+
+
+def stream_skip_rate(spark, sf_dir):
+    return jobs.output(spark, _run(spark, sf_dir, "stream_skip_rate", ["skip_rate"]), "skip_rate")
+
+
+def stream_top(spark, sf_dir):
+    paths = _run(spark, sf_dir, "stream_top", ["top_by_country"], with_catalog=True)
+    return jobs.output(spark, paths, "top_by_country")
+
+
+def stream_royalties(spark, sf_dir):
+    return jobs.output(spark, _run(spark, sf_dir, "stream_royalties", ["royalties"]), "royalties")
+
+
+def stream_fraud(spark, sf_dir):
+    return jobs.output(spark, _run(spark, sf_dir, "stream_fraud", ["fraud_alerts"]), "fraud_alerts")
+
+
+def stream_dlq(spark, sf_dir):
+    return jobs.dead_letters(spark, _run(spark, sf_dir, "stream_dlq", []))
+
+
+def stream_catalog(spark, sf_dir):
+    paths = _run(spark, sf_dir, "stream_catalog", [], with_catalog=True)
+    return jobs.current_catalog(spark, paths)
 
 
 def registry():
-    return {}
+    return {"stream_skip_rate": stream_skip_rate, "stream_top": stream_top,
+            "stream_royalties": stream_royalties, "stream_fraud": stream_fraud,
+            "stream_dlq": stream_dlq, "stream_catalog": stream_catalog}
