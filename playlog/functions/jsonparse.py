@@ -35,11 +35,18 @@ JSON_OPTIONS = {
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
-def variant_schema(fields: Iterable[str]) -> T.StructType:
-    return T.StructType([T.StructField(f, T.VariantType(), True) for f in fields]
+def record_schema(text_fields: Iterable[str], int_fields: Iterable[str] = ()) -> T.StructType:
+    """Text fields as STRING (scalars arrive as their text), integer fields as VARIANT
+    (their JSON type decides the coercion), plus the corrupt-record text."""
+    return T.StructType([T.StructField(f, T.StringType(), True) for f in text_fields]
+                        + [T.StructField(f, T.VariantType(), True) for f in int_fields]
                         + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def variant_schema(fields: Iterable[str]) -> T.StructType:
+    return record_schema((), fields)
+
+
 def parse_variant_record(text: Column, fields: Iterable[str]) -> Column:
     """``from_json`` into one VARIANT per field plus the corrupt-record text."""
     return F.from_json(text, variant_schema(fields), JSON_OPTIONS)
@@ -54,26 +61,35 @@ def _vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def text_field(v: Column) -> tuple[Column, Column]:
-    """(value STRING, bad BOOLEAN) for a text field held as VARIANT."""
-    t = _vtype(v)
-    bad = F.coalesce(t.startswith("OBJECT") | t.startswith("ARRAY"), F.lit(False))
-    return F.try_variant_get(v, "$", "string"), bad
+def text_field(s: Column, raw: Column, name: str) -> Column:
+    """'bad' flag of a text field read as STRING: an object or array is not text.
+
+    A nested value arrives as its JSON text, so only a reading that starts with ``{``
+    or ``[`` can be one; for those rare rows alone the field is read again as VARIANT
+    to learn its JSON type.
+    """
+    maybe_nested = s.startswith("{") | s.startswith("[")
+    one = F.from_json(raw, variant_schema([name]), JSON_OPTIONS).getField(name)
+    t = _vtype(one)
+    return F.coalesce(F.when(maybe_nested, t.startswith("OBJECT") | t.startswith("ARRAY")),
+                      F.lit(False))
 
 
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def int_field_parts(v: Column, prefix: str) -> list[Column]:
-    """Stage 1 of an integer field: its JSON type, and its value read three ways.
+    """Stage 1 of an integer field: its JSON type, and the one reading that type needs.
 
     Kept as separate columns so that the optimizer evaluates each once per row.
     """
-    return [_vtype(v).alias(f"{prefix}_t"),
-            F.try_variant_get(v, "$", "bigint").alias(f"{prefix}_l"),
-            F.try_variant_get(v, "$", "double").alias(f"{prefix}_d"),
-            F.regexp_replace(F.try_variant_get(v, "$", "string"), _JAVA_TRIM, "")
-             .alias(f"{prefix}_s")]
+    t = _vtype(v)
+    return [t.alias(f"{prefix}_t"),
+            F.when(t == "BIGINT", F.try_variant_get(v, "$", "bigint")).alias(f"{prefix}_l"),
+            F.when((t == "DOUBLE") | (t == "FLOAT") | t.startswith("DECIMAL"),
+                   F.try_variant_get(v, "$", "double")).alias(f"{prefix}_d"),
+            F.when(t == "STRING", F.regexp_replace(F.try_variant_get(v, "$", "string"),
+                                                   _JAVA_TRIM, "")).alias(f"{prefix}_s")]
 
 
 def int_field(prefix: str) -> tuple[Column, Column]:
@@ -109,15 +125,14 @@ def parse_record(df: DataFrame, value_col: str, text_fields: Sequence[str],
     places of one expression.
     """
     keep = [F.col(c) for c in df.columns]
-    fields = list(text_fields) + list(int_fields)
-    s1 = df.select(*keep, parse_variant_record(F.col(value_col), fields).alias("_rec"))
+    s1 = df.select(*keep, F.from_json(F.col(value_col), record_schema(text_fields, int_fields),
+                                      JSON_OPTIONS).alias("_rec"))
     rec = F.col("_rec")
     bad = record_unreadable(rec)
     stage2 = []
     for name in text_fields:
-        v, b = text_field(rec.getField(name))
-        stage2.append(v.alias(name))
-        bad = bad | b
+        stage2.append(rec.getField(name).alias(name))
+        bad = bad | text_field(rec.getField(name), F.col(value_col), name)
     for name in int_fields:
         stage2.extend(int_field_parts(rec.getField(name), f"_{name}"))
     s2 = s1.select(*keep, *stage2, bad.alias("_bad_text"))

@@ -22,13 +22,18 @@ ISO_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def parse_iso_instant(text: Column) -> Column:
-    """TIMESTAMP of a strict ISO-8601 instant, NULL when the text is not one."""
+    """TIMESTAMP of a strict ISO-8601 instant, NULL when the text is not one.
+
+    One pattern match and one cast per row; the rare ``24:00:00`` / ``23:59:60`` forms
+    take a separate branch that is only evaluated for them.
+    """
     u = F.upper(text)
-    end_of_day = u.rlike(_END_OF_DAY_RE)
+    special = u.contains("T24:00:00") | u.contains("T23:59:60")
     norm = F.regexp_replace(F.regexp_replace(u, _END_OF_DAY_RE, "T00:00:00"),
-                            _LEAP_SECOND_RE, "T23:59:59")
-    ts = F.when(u.rlike(ISO_INSTANT_RE), norm.try_cast("timestamp"))
-    return F.when(end_of_day, ts + F.expr("INTERVAL 1 DAY")).otherwise(ts)
+                            _LEAP_SECOND_RE, "T23:59:59").try_cast("timestamp")
+    special_ts = F.when(u.rlike(_END_OF_DAY_RE), norm + F.expr("INTERVAL 1 DAY")).otherwise(norm)
+    return F.when(u.rlike(ISO_INSTANT_RE),
+                  F.when(special, special_ts).otherwise(u.try_cast("timestamp")))
 
 
 def iso_text(ts: Column) -> Column:

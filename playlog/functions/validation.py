@@ -20,9 +20,15 @@ EVENT_FIELDS = ("event_id", "user_id", "track_id", "artist", "event_type", "ms_p
 EVENT_COLUMNS = EVENT_FIELDS + ("event_time", "event_time_ms")
 
 
+# FIXED VALUES: the characters Java's Character.isWhitespace accepts (String.isBlank).
+JAVA_WHITESPACE = ("\t\n\u000b\f\r\u001c\u001d\u001e\u001f "
+                   "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                   "\u2008\u2009\u200a\u2028\u2029\u205f\u3000")
+
+
 def is_blank(c: Column) -> Column:
     """Null, empty or only Unicode white space (Java ``isBlank``)."""
-    return c.isNull() | c.rlike(r"^\p{javaWhitespace}*$")
+    return c.isNull() | (F.btrim(c, F.lit(JAVA_WHITESPACE)) == "")
 
 
 def _text_or_null(c: Column) -> Column:

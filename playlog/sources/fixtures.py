@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlog.sources.partitioning import spread
+
 # 2026-07-04T00:00:00Z, the first event's second.
 BASE_EPOCH_S = 1783123200
 
@@ -154,6 +156,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _input(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
+    """A driver table as a parse input: only the needed columns, spread over the slots."""
+    return spread(_table(spark, sf_dir, name).select(*columns))
+
+
+EVENTS_INPUT = ("event_id", "user_id", "event_type", "value", "props")
+PART_INPUT = ("p_partkey", "p_name", "p_type", "p_size")
+
+
 def clean_events_from(events: DataFrame) -> DataFrame:
     """Listening events (typed, valid) from an ``events``-shaped frame (batch or stream)."""
     return (events.selectExpr(*SPARK_EVENTS_HEAD).selectExpr(*EVENTS_FLAGS)
@@ -169,16 +180,16 @@ def raw_messages_from(events: DataFrame) -> DataFrame:
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_events_from(_table(spark, sf_dir, "events"))
+    return clean_events_from(_input(spark, sf_dir, "events", EVENTS_INPUT))
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_messages_from(_table(spark, sf_dir, "events"))
+    return raw_messages_from(_input(spark, sf_dir, "events", EVENTS_INPUT))
 
 
 def catalog_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compacted-topic changelog of the track catalog: partition, offset, key, value."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    part = _input(spark, sf_dir, "part", PART_INPUT)
     return part.selectExpr(*SPARK_CAT_VERSIONS).selectExpr(*quoted(CAT_BODY, "`"))
 
 

@@ -1,0 +1,19 @@
+"""Input parallelism for the CPU-heavy first stage (JSON parse + validation).
+
+A source with fewer input partitions than task slots (one small file, one row group,
+a topic with few partitions) would parse on a few cores.  ``spread`` round-robins such
+a batch input across the slots; an input that already has enough partitions (any large
+table) is returned unchanged, so at scale this adds no shuffle.  Streams from Kafka get
+the same effect from the source option ``minPartitions``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    if df.isStreaming:
+        return df
+    slots = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
