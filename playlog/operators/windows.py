@@ -54,7 +54,9 @@ def running_max(df: DataFrame, value_col: str, partition_cols: Sequence[str], or
     inner_end = Window.currentRow if inclusive else -1
     inner = (Window.partitionBy(*parts, "_blk").orderBy(order_col)
              .rowsBetween(Window.unboundedPreceding, inner_end))
-    joined = staged.join(prefix, [*parts, "_blk"], "left")
+    # Sort-merge join, never a broadcast: the big side's exchange on (partition, block)
+    # is the one the in-block window needs anyway, so the join adds no exchange there.
+    joined = staged.join(prefix.hint("merge"), [*parts, "_blk"], "left")
     return (joined.withColumn(out_col, F.greatest(F.col("_before"), F.max(value_col).over(inner)))
                   .drop("_blk", "_before"))
 

@@ -21,3 +21,28 @@ def test_no_query_uses_a_row_cap():
     for mod in (queries, replay_queries, stream_queries):
         src = inspect.getsource(mod)
         assert ".limit(" not in src and ".sample(" not in src
+
+
+def test_kafka_shape(spark):
+    import datetime as dt
+    from playlog.sources.kafka import kafka_shape
+    df = spark.createDataFrame(
+        [(bytearray(b"u-1"), bytearray(b'{"a":1}'), "t", 3, 7, dt.datetime(2026, 7, 16), 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    row = kafka_shape(df).first()
+    assert (row.key, row.value, row.partition, row.offset) == ("u-1", '{"a":1}', 3, 7)
+
+
+def test_batch_job_writes_five_outputs(spark, tmp_path):
+    from playlog import contract as C
+    from playlog.plans import batch
+    from playlog.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    out = batch.run(spark, fixtures.raw_messages(spark, sf), fixtures.catalog_changelog(spark, sf),
+                    str(tmp_path / "out"), batch.BatchConfig(group="g7", late_rule=False))
+    assert set(out) == {C.output_name(k, "g7") for k in C.OUTPUT_SUFFIXES}
+    skip = spark.read.parquet(out["g7.skiprate"])
+    from playlog.plans import queries as q
+    assert sorted(skip.collect()) == sorted(q.skip_rate_q(spark, sf).collect())
+    dlq = spark.read.parquet(out["g7.dlq"])
+    assert dlq.count() == q.dlq_messages(spark, sf).count()
