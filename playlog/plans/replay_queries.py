@@ -27,8 +27,9 @@ def _encode(df: DataFrame, topic: str, ts_ms) -> DataFrame:
 
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    raw = fixtures.raw_messages(spark, sf_dir)
-    cat = fixtures.catalog_changelog(spark, sf_dir)
+    from playlog.plans import queries
+    raw = queries.raw(spark, sf_dir)
+    cat = queries.changelog(spark, sf_dir)
     cat_ts = ((F.lit(fixtures.BASE_EPOCH_S) + F.col("offset")) * 1000).cast("bigint")
     return (_encode(raw, EVENTS_TOPIC, F.unix_millis("broker_time"))
             .unionByName(_encode(cat, TRACKS_TOPIC, cat_ts)))

@@ -66,11 +66,15 @@ def _ts_ms(v: Column) -> tuple[Column, Column]:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines → records (topic, position, key, value, ts_ms, unreadable)."""
+    """Lines → records (topic, position, key, value, ts_ms, blank, unreadable).
+
+    Nothing is filtered before the fence: a filter there would be pushed into whatever
+    produced the lines and re-evaluate it inside the predicate.
+    """
     stripped = F.regexp_replace(F.col("line"), f"^{_WS}+|{_WS}+$", "")
-    kept = lines.filter(stripped != "").select("*", stripped.alias("_s"))
-    parsed = kept.select("topic", *POSITION,
-                         F.from_json("_s", LINE_SCHEMA, {"mode": "PERMISSIVE"}).alias("_r"))
+    staged = lines.select("topic", *POSITION, stripped.alias("_s"))
+    parsed = staged.select("topic", *POSITION, (F.col("_s") == "").alias("blank"),
+                           F.from_json("_s", LINE_SCHEMA, {"mode": "PERMISSIVE"}).alias("_r"))
     r = F.col("_r")
     v_type = F.schema_of_variant(r.value)
     ts, ts_bad = _ts_ms(r.ts_ms)
@@ -80,12 +84,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return fence(parsed.select(
         "topic", *POSITION,
         F.try_variant_get(r.key, "$", "string").alias("key"),
-        value.alias("value"), ts.alias("ts_ms"), bad.alias("unreadable")))
+        value.alias("value"), ts.alias("ts_ms"), "blank",
+        (~F.col("blank") & bad).alias("unreadable")))
 
 
 def records(lines: DataFrame) -> DataFrame:
-    """Readable records only."""
-    return parse_lines(lines).filter(~F.col("unreadable")).select(*RECORD_COLUMNS)
+    """Readable records only (blank lines skipped, unreadable ones set aside)."""
+    return (parse_lines(lines).filter(~F.col("blank") & ~F.col("unreadable"))
+            .select(*RECORD_COLUMNS))
 
 
 def read_dump(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,6 +34,7 @@ def test_read_rules(spark):
     })
     parsed = dump.parse_lines(dump.read_lines(spark, d)).collect()
     assert sum(r.unreadable for r in parsed) == 2
+    assert sum(r.blank for r in parsed) == 2
     recs = {r.key: (r.topic, r.value, r.ts_ms) for r in dump.read_dump(spark, d).collect()}
     assert recs == {"u1": ("t.events", "v1", 5), "u2": ("t.events", "v2", 0),
                     None: ("t.events", "v3", 0), "u4": ("t.events", "", 7),
