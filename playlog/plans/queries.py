@@ -62,7 +62,7 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.lookup(changelog(spark, sf_dir))
+    return _plan(spark, sf_dir, "catalog_side", lambda: catalog.lookup(changelog(spark, sf_dir)))
 
 
 # ---- ingestion ----------------------------------------------------------------------
