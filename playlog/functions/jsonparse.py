@@ -47,11 +47,6 @@ def variant_schema(fields: Iterable[str]) -> T.StructType:
     return record_schema((), fields)
 
 
-def parse_variant_record(text: Column, fields: Iterable[str]) -> Column:
-    """``from_json`` into one VARIANT per field plus the corrupt-record text."""
-    return F.from_json(text, variant_schema(fields), JSON_OPTIONS)
-
-
 def record_unreadable(rec: Column) -> Column:
     """True when the text is not a JSON object at all (null, empty, malformed, array...)."""
     return rec.isNull() | rec.getField(CORRUPT).isNotNull()

@@ -47,7 +47,7 @@ def running_max(df: DataFrame, value_col: str, partition_cols: Sequence[str], or
     ``inclusive=False`` gives the maximum of strictly earlier rows.
     """
     parts = list(partition_cols)
-    staged = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_rows)).cast("bigint"))
+    staged = df.withColumn("_blk", F.expr(f"`{order_col}` div {int(block_rows)}"))
     blocks = staged.groupBy(*parts, "_blk").agg(F.max(value_col).alias("_bmax"))
     before = Window.partitionBy(*parts).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = blocks.select(*parts, "_blk", F.max("_bmax").over(before).alias("_before"))

@@ -75,3 +75,36 @@ def test_batch_and_stream_share_operators(spark):
         [(0, 0, dt.datetime(2026, 7, 16), "k", event())], RAW_SCHEMA))[0]
     assert royalties.royalties(batch).count() == 1
     assert skip_rate.skip_rate(batch).count() == 1
+
+
+def test_top_uses_catalog_current_at_emission(spark):
+    import json
+    paths = jobs.Paths(tempfile.mkdtemp(prefix="playlog-stream-out-"))
+    cat_write = upsert_batch(paths.catalog)
+
+    def catalog_version(batch_id, title):
+        row = ("trk-1", False, "trk-1", title, "Nova", "POP", 200000)
+        cat_write(spark.createDataFrame(
+            [row], "key string, deleted boolean, track_id string, title string, artist string, "
+                   "genre string, duration_ms int"), batch_id)
+
+    d = tempfile.mkdtemp(prefix="playlog-stream-in-")
+    schema = spark.createDataFrame([], RAW_SCHEMA).schema
+
+    def add_file(i, msgs):
+        rows = [(0, 100 * i + j, dt.datetime(2026, 7, 16, 12), "k", m) for j, m in enumerate(msgs)]
+        spark.createDataFrame(rows, RAW_SCHEMA).coalesce(1).write.parquet(f"{d}/b{i:03d}")
+
+    def run_once():
+        raw = spark.readStream.schema(schema).parquet(f"{d}/*/*.parquet")
+        jobs.start_top(valid_events(validate(raw)), paths).awaitTermination()
+        rows = jobs.output(spark, paths, "top_by_country").collect()
+        return {(r.window_start, r.title, r.listens) for r in rows
+                if r.window_start == "2026-07-16T10:00:00Z"}
+
+    catalog_version(0, "v1")
+    add_file(0, [event(event_id="a", track_id="trk-1", timestamp="2026-07-16T10:01:00Z")])
+    assert run_once() == {("2026-07-16T10:00:00Z", "v1", 1)}
+    catalog_version(1, "v2")
+    add_file(1, [event(event_id="b", track_id="trk-1", timestamp="2026-07-16T10:02:00Z")])
+    assert run_once() == {("2026-07-16T10:00:00Z", "v2", 2)}
