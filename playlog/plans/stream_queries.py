@@ -17,10 +17,7 @@ from playlog.streaming import jobs
 
 
 def _catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").schema
-    part = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/part*.parquet")
-    cols = part.select("p_partkey", "p_name", "p_type", "p_size")
-    return (cols.selectExpr(*fixtures.SPARK_CAT_VERSIONS)
+    return (fixtures.part_stream(spark, sf_dir).selectExpr(*fixtures.SPARK_CAT_VERSIONS)
                 .selectExpr(*fixtures.quoted(fixtures.CAT_BODY, "`")))
 
 

@@ -193,12 +193,25 @@ def catalog_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.selectExpr(*SPARK_CAT_VERSIONS).selectExpr(*quoted(CAT_BODY, "`"))
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The ``events`` table as a file stream (file streams need a directory or a glob)."""
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1,
+                  min_partitions: int | None = None) -> DataFrame:
+    """The ``events`` table as a file stream (file streams need a directory or a glob),
+    spread over ``min_partitions`` tasks (default: the task slots), as Kafka's
+    ``minPartitions`` does, so the parse of a micro-batch is not one task."""
     schema = _table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(f"{sf_dir.rstrip('/')}/events*.parquet"))
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(f"{sf_dir.rstrip('/')}/events*.parquet"))
+    slots = min_partitions or spark.sparkContext.defaultParallelism
+    return stream.select(*EVENTS_INPUT).repartition(slots)
+
+
+def part_stream(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
+    """The ``part`` table as a file stream, spread like ``events_stream``."""
+    schema = _table(spark, sf_dir, "part").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/part*.parquet")
+    slots = min_partitions or spark.sparkContext.defaultParallelism
+    return stream.select(*PART_INPUT).repartition(slots)
 
 
 __all__ = ["clean_events", "raw_messages", "catalog_changelog", "clean_events_from",
