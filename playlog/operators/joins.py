@@ -32,6 +32,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def bounded_broadcast(small: DataFrame, bound_bytes: int, limit_bytes: int | None = None
                       ) -> DataFrame:
-    """``broadcast(small)`` if its proven bound fits, else ``small`` unchanged."""
+    """``broadcast(small)`` if its proven bound fits, else a sort-merge join hint (so an
+    optimistic size estimate cannot broadcast an unbounded side either)."""
     limit = broadcast_limit(small) if limit_bytes is None else limit_bytes
-    return F.broadcast(small) if bound_bytes <= limit else small
+    return F.broadcast(small) if bound_bytes <= limit else small.hint("merge")

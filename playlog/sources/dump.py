@@ -31,12 +31,18 @@ POSITION = ("file_name", "split_start", "split_row")
 
 
 def _lines(text: DataFrame) -> DataFrame:
-    """Raw text rows → (topic, file_name, split_start, split_row, line)."""
+    """Raw text rows → (topic, file_name, split_start, split_row, line).
+
+    Streams carry no row position inside a split (the merge order is a batch export;
+    streams order by event time and watermarks), so ``split_row`` is null there.
+    """
+    row = (F.lit(None).cast("bigint") if text.isStreaming
+           else F.monotonically_increasing_id())
     return text.select(
         F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1).alias("topic"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("split_row"),
+        row.alias("split_row"),
         F.col("value").alias("line"))
 
 

@@ -46,3 +46,15 @@ def test_batch_job_writes_five_outputs(spark, tmp_path):
     assert sorted(skip.collect()) == sorted(q.skip_rate_q(spark, sf).collect())
     dlq = spark.read.parquet(out["g7.dlq"])
     assert dlq.count() == q.dlq_messages(spark, sf).count()
+
+
+def test_cli_batch(spark, tmp_path):
+    from playlog import cli
+    from playlog.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    fixtures.raw_messages(spark, sf).write.parquet(str(tmp_path / "raw"))
+    fixtures.catalog_changelog(spark, sf).write.parquet(str(tmp_path / "cat"))
+    cli.main(["batch", "--events", str(tmp_path / "raw"), "--catalog", str(tmp_path / "cat"),
+              "--out", str(tmp_path / "out"), "--group", "grp07"])
+    assert spark.read.parquet(str(tmp_path / "out" / "grp07.royalties")).count() > 0
+    assert spark.read.parquet(str(tmp_path / "out" / "grp07.dlq")).count() > 0

@@ -108,3 +108,38 @@ def test_top_uses_catalog_current_at_emission(spark):
     catalog_version(1, "v2")
     add_file(1, [event(event_id="b", track_id="trk-1", timestamp="2026-07-16T10:02:00Z")])
     assert run_once() == {("2026-07-16T10:00:00Z", "v2", 2)}
+
+
+def test_royalty_dedup_ttl_bounds_state(spark):
+    pay = lambda i, t: event(event_id=f"ev-{i}", ms_played=31000, timestamp=t)
+    raw = _batches(spark, [[pay(1, "2026-07-16T10:00:00Z")],
+                           [pay(1, "2026-07-16T10:05:00Z"), pay(2, "2026-07-16T10:06:00Z")]])
+    paths = jobs.Paths(tempfile.mkdtemp(prefix="playlog-stream-out-"))
+    jobs.start_royalties(valid_events(validate(raw)), paths, dedup_ttl="1 hour").awaitTermination()
+    got = {r.artist: r.paid_streams for r in jobs.output(spark, paths, "royalties").collect()}
+    assert got == {"Nova Kane": 2}
+
+
+def test_dump_folder_as_a_stream(spark):
+    import json
+    from playlog.sources import dump
+    d = tempfile.mkdtemp(prefix="playlog-dump-stream-")
+    with open(f"{d}/t.jsonl", "w") as f:
+        f.write("\n".join(json.dumps({"key": f"k{i}", "value": "v", "ts_ms": i}) for i in range(5)) + "\n\n")
+    recs = dump.records(dump.stream_lines(spark, d))
+    out = tempfile.mkdtemp(prefix="playlog-dump-out-")
+    q = (recs.writeStream.format("parquet").option("checkpointLocation", out + "/_ck")
+         .trigger(availableNow=True).start(out + "/t"))
+    q.awaitTermination()
+    rows = spark.read.parquet(out + "/t").collect()
+    assert sorted((r.key, r.ts_ms, r.topic) for r in rows) == [(f"k{i}", i, "t") for i in range(5)]
+
+
+def test_kafka_output_shaping(spark):
+    from playlog.streaming.sinks import to_kafka
+    df = spark.createDataFrame([("u-1", "trk-1", 21, "2026-07-16T10:00:00Z", "2026-07-16T10:05:00Z")],
+                               "user_id string, track_id string, count long, window_start string, window_end string")
+    row = to_kafka(df, ["user_id", "track_id"]).first()
+    assert row.key == "u-1|trk-1"
+    assert row.value == ('{"user_id":"u-1","track_id":"trk-1","count":21,'
+                         '"window_start":"2026-07-16T10:00:00Z","window_end":"2026-07-16T10:05:00Z"}')

@@ -60,3 +60,6 @@ def test_broadcast_only_under_bound(spark):
     big = catalog.lookup(cl, limit_bytes=10)
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+    v = split(raw_frame(spark, [event(track_id="trk-1")]))[0]
+    plan = top_country.top_by_country(v, big)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
