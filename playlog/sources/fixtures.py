@@ -17,7 +17,6 @@ build the very same inputs; only the engine-specific heads differ.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playlog.sources.partitioning import spread
 
@@ -215,4 +214,4 @@ def part_stream(spark: SparkSession, sf_dir: str, min_partitions: int | None = N
 
 
 __all__ = ["clean_events", "raw_messages", "catalog_changelog", "clean_events_from",
-           "raw_messages_from", "events_stream", "F"]
+           "raw_messages_from", "events_stream", "part_stream"]

@@ -3,8 +3,6 @@ the boundary rows of the brief."""
 
 from decimal import Decimal
 
-import pytest
-
 from conftest import event, raw_frame
 from playlog.operators import fraud, royalties, skip_rate
 from playlog.operators.ingest import split

@@ -1,7 +1,5 @@
 """Skewed keys, and property checks of the integer coercion rules."""
 
-import json
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
