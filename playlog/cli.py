@@ -29,6 +29,8 @@ def main(argv=None) -> None:
     s.add_argument("--events-topic", required=True)
     s.add_argument("--catalog-topic", required=True)
     s.add_argument("--every", default="10 seconds")
+    s.add_argument("--to-kafka", action="store_true",
+                   help="publish outputs to Kafka topics <group>.[<namespace>.]<suffix>")
     for p in (b, s):
         p.add_argument("--out", required=True)
         p.add_argument("--group", default=C.DEFAULT_GROUP)
@@ -60,7 +62,10 @@ def main(argv=None) -> None:
         from playlog.streaming import jobs
         raw = kafka.read_topic(spark, a.bootstrap, a.events_topic)
         changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
-        queries = jobs.run(spark, raw, jobs.Paths(a.out), changelog,
+        paths = jobs.Paths(a.out)
+        if a.to_kafka:
+            paths.kafka = jobs.KafkaOut(a.bootstrap, a.group, a.namespace)
+        queries = jobs.run(spark, raw, paths, changelog,
                            jobs.Trigger(available_now=False, every=a.every), wait=False)
         for q in queries:
             print("started", q.name or q.id)

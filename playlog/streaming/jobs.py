@@ -34,7 +34,7 @@ from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
 from playlog.operators.joins import bounded_broadcast, size_bound
 from playlog.operators.windows import window_bounds
 from playlog.session import prepare
-from playlog.streaming.sinks import read_table, upsert_batch
+from playlog.streaming.sinks import read_table, to_kafka, upsert_batch
 
 STATUS_VALID = "valid"
 STATUS_DEAD = "dead_letter"
@@ -52,11 +52,24 @@ class Trigger:
         return writer.trigger(availableNow=True) if self.available_now else writer
 
 
+@dataclass
+class KafkaOut:
+    """Publish the keyed outputs and the DLQ to Kafka topics ``<group>.[<ns>.]<suffix>``
+    instead of upsert tables (update mode; the topics act as changelogs)."""
+    bootstrap: str
+    group: str = C.DEFAULT_GROUP
+    namespace: str = ""
+
+    def topic(self, kind: str) -> str:
+        return C.output_name(kind, self.group, self.namespace)
+
+
 @dataclass
 class Paths:
     root: str
     validated: str = field(init=False)
     catalog: str = field(init=False)
+    kafka: KafkaOut | None = None
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
@@ -82,6 +95,18 @@ def validated_table(raw: DataFrame) -> DataFrame:
         F.when(dead, to_json_text(F.col("value").alias("original"), "reason")).alias("dlq_value"))
 
 
+def start_dlq_to_kafka(spark: SparkSession, paths: Paths, schema,
+                      trigger: Trigger = Trigger()) -> StreamingQuery:
+    """K1 on Kafka: the dead letters, keyed by the original key, value = DLQ JSON."""
+    dead = (_table_stream(spark, paths.validated, schema)
+            .filter(F.col("status") == STATUS_DEAD)
+            .select(F.col("key"), F.col("dlq_value").alias("value")))
+    w = (dead.writeStream.format("kafka").option("kafka.bootstrap.servers", paths.kafka.bootstrap)
+         .option("topic", paths.kafka.topic("dlq")).outputMode("append")
+         .option("checkpointLocation", paths.checkpoint("dlq_kafka")))
+    return trigger.apply(w).start()
+
+
 def start_validation(raw_stream: DataFrame, paths: Paths, trigger: Trigger = Trigger()
                      ) -> StreamingQuery:
     prepare(raw_stream.sparkSession)
@@ -115,9 +140,15 @@ def dead_letters(spark: SparkSession, paths: Paths) -> DataFrame:
         "original", "reason", "dlq_value")
 
 
-def _upsert(df: DataFrame, path: str, checkpoint: str, trigger: Trigger) -> StreamingQuery:
-    w = (df.writeStream.outputMode("update").foreachBatch(upsert_batch(path))
-         .option("checkpointLocation", checkpoint))
+def _upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger) -> StreamingQuery:
+    """Update-mode output of one keyed result: upsert table, or Kafka changelog topic."""
+    if paths.kafka is not None:
+        w = (to_kafka(df, C.UPSERT_KEYS[kind]).writeStream.format("kafka")
+             .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
+             .option("topic", paths.kafka.topic(kind)))
+    else:
+        w = df.writeStream.foreachBatch(upsert_batch(paths.out(kind)))
+    w = w.outputMode("update").option("checkpointLocation", paths.checkpoint(kind))
     return trigger.apply(w).start()
 
 
@@ -126,7 +157,7 @@ def start_skip_rate(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger()
     counters = skip_rate.skip_counters(valid.withWatermark("event_time", grace), window)
     out = counters.select("track_id", *window_bounds(), "skips", "completes",
                           *skip_rate.rate_columns())
-    return _upsert(out, paths.out("skip_rate"), paths.checkpoint("skip_rate"), trigger)
+    return _upsert(out, "skip_rate", paths, trigger)
 
 
 def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger = Trigger()
@@ -138,7 +169,9 @@ def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger =
                      *[F.col(f) for f in catalog.TRACK_FIELDS])
     cur = usable.groupBy("key").agg(F.max_by(state, F.struct("partition", "offset")).alias("s"))
     out = cur.select("key", *[F.col(f"s.{f}").alias(f) for f in ("deleted",) + catalog.TRACK_FIELDS])
-    return _upsert(out, paths.catalog, paths.checkpoint("catalog"), trigger)
+    w = (out.writeStream.foreachBatch(upsert_batch(paths.catalog)).outputMode("update")
+         .option("checkpointLocation", paths.checkpoint("catalog")))
+    return trigger.apply(w).start()
 
 
 def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
@@ -167,7 +200,13 @@ def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
 
     def enrich_and_write(batch: DataFrame, batch_id: int) -> None:
         side = catalog_side_now(batch.sparkSession, paths)
-        write(top_country.enrich(batch, side), batch_id)
+        enriched = top_country.enrich(batch, side)
+        if paths.kafka is None:
+            write(enriched, batch_id)
+        else:   # at-least-once, like the Kafka sink itself
+            (to_kafka(enriched, C.UPSERT_KEYS["top_by_country"]).write.format("kafka")
+             .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
+             .option("topic", paths.kafka.topic("top_by_country")).save())
 
     w = (counts.writeStream.outputMode("update").foreachBatch(enrich_and_write)
          .option("checkpointLocation", paths.checkpoint("top_by_country")))
@@ -188,7 +227,7 @@ def start_royalties(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger()
     per_artist = paid.groupBy("artist").agg(F.count(F.lit(1)).alias("paid_streams"))
     out = per_artist.select("artist", "paid_streams",
                             royalties.money(F.col("paid_streams")).alias("total"))
-    return _upsert(out, paths.out("royalties"), paths.checkpoint("royalties"), trigger)
+    return _upsert(out, "royalties", paths, trigger)
 
 
 def start_fraud(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
@@ -197,7 +236,7 @@ def start_fraud(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
     counts = fraud.complete_counts(valid.withWatermark("event_time", grace), window_minutes)
     out = (counts.filter(F.col("count") > threshold)
                  .select("user_id", "track_id", "count", *window_bounds()))
-    return _upsert(out, paths.out("fraud_alerts"), paths.checkpoint("fraud_alerts"), trigger)
+    return _upsert(out, "fraud_alerts", paths, trigger)
 
 
 KINDS = ("skip_rate", "top_by_country", "royalties", "fraud_alerts")
@@ -220,6 +259,8 @@ def run(spark: SparkSession, raw_stream: DataFrame, paths: Paths,
         for q in started:
             q.awaitTermination()
     valid = valid_stream(spark, paths, schema)
+    if paths.kafka is not None:
+        started.append(start_dlq_to_kafka(spark, paths, schema, trigger))
     starters = {"skip_rate": start_skip_rate, "top_by_country": start_top,
                 "royalties": start_royalties, "fraud_alerts": start_fraud}
     outs = [starters[k](valid, paths, trigger) for k in kinds]
