@@ -115,7 +115,15 @@ def start_validation(raw_stream: DataFrame, paths: Paths, trigger: Trigger = Tri
     return trigger.apply(w).start(paths.validated)
 
 
+def _ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on its file system (HDFS, object store, local) if missing, so a
+    reader can start before the writer's first micro-batch."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
 def _table_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    _ensure_dir(spark, path)
     return spark.readStream.schema(schema).parquet(path)
 
 

@@ -143,3 +143,17 @@ def test_kafka_output_shaping(spark):
     assert row.key == "u-1|trk-1"
     assert row.value == ('{"user_id":"u-1","track_id":"trk-1","count":21,'
                          '"window_start":"2026-07-16T10:00:00Z","window_end":"2026-07-16T10:05:00Z"}')
+
+
+def test_readers_can_start_before_the_writer(spark):
+    from playlog.sources import fixtures
+    paths = jobs.Paths(tempfile.mkdtemp(prefix="playlog-stream-out-") + "/fresh")
+    raw = fixtures.raw_messages_from(fixtures.events_stream(spark, "/root/testdata/sf0.001"))
+    schema = jobs.validated_schema(raw)
+    valid = jobs.valid_stream(spark, paths, schema)          # nothing written yet
+    q1 = jobs.start_skip_rate(valid, paths)
+    q1.awaitTermination()                                     # drains nothing, no error
+    assert q1.exception() is None
+    jobs.start_validation(raw, paths).awaitTermination()
+    jobs.start_skip_rate(jobs.valid_stream(spark, paths, schema), paths).awaitTermination()
+    assert jobs.output(spark, paths, "skip_rate").count() > 0
