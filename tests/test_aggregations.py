@@ -21,6 +21,10 @@ def test_complete_credits_a_royalty(spark):
     v = valid_of(spark, [event(event_id="ev-002", artist="Nova Kane", ms_played=31000)])
     rows = royalties.royalties(v).collect()
     assert [(r.artist, r.total, r.paid_streams) for r in rows] == [("Nova Kane", Decimal("0.003"), 1)]
+    # as published: key = artist, JSON value carrying 0.003
+    from playlog.streaming.sinks import to_kafka
+    msg = to_kafka(royalties.royalties(v), ["artist"]).first()
+    assert msg.key == "Nova Kane" and '"total":0.003' in msg.value
 
 
 def test_skip_credits_nothing(spark):
