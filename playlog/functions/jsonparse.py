@@ -1,7 +1,9 @@
 """Tolerant JSON record parsing (C1) and JSON text output (C2), as column expressions.
 
-A message is parsed once with ``from_json`` into VARIANT fields, so that each field's
-JSON type is known; the record rules are then plain column expressions, all JVM-side:
+A message is parsed once with ``from_json``: text fields as STRING (numbers and
+booleans arrive as their text, nested values as their JSON text), integer fields as
+VARIANT so that their JSON type is known.  The record rules are then plain column
+expressions, all JVM-side:
 
 * unknown fields are ignored, a repeated field keeps its last value;
 * text fields take strings, and numbers / booleans as their text; an object or array
