@@ -2,6 +2,7 @@
 
   python -m playlog.cli batch  --events <parquet|jsonl dir> --catalog <...> --out <dir>
   python -m playlog.cli stream --bootstrap host:9092 --events-topic T --catalog-topic C --out <dir>
+  python -m playlog.cli stream --dump-events <dir> --dump-catalog <dir> --out <dir>
 
 Batch inputs are Kafka-shaped tables (partition, offset, broker_time, key, value) in
 parquet, or recorded-dump folders (``--dump``).  Outputs are named
@@ -25,9 +26,11 @@ def main(argv=None) -> None:
     b.add_argument("--dump", action="store_true", help="inputs are recorded-dump folders")
     b.add_argument("--no-late-rule", action="store_true")
     s = sub.add_parser("stream")
-    s.add_argument("--bootstrap", required=True)
-    s.add_argument("--events-topic", required=True)
-    s.add_argument("--catalog-topic", required=True)
+    s.add_argument("--bootstrap", help="Kafka bootstrap servers (or use --dump-*)")
+    s.add_argument("--events-topic")
+    s.add_argument("--catalog-topic")
+    s.add_argument("--dump-events", help="recorded-dump folder streamed as the event topic")
+    s.add_argument("--dump-catalog", help="recorded-dump folder streamed as the catalog")
     s.add_argument("--every", default="10 seconds")
     s.add_argument("--to-kafka", action="store_true",
                    help="publish outputs to Kafka topics <group>.[<namespace>.]<suffix>")
@@ -41,27 +44,26 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
     spark = prepare(SparkSession.builder.appName("playlog").getOrCreate())
     if a.mode == "batch":
-        from pyspark.sql import functions as F
-
         from playlog.plans import batch
         if a.dump:
             from playlog.sources import dump
-            def as_raw(folder):
-                recs = dump.read_dump(spark, folder)
-                return recs.select(F.lit(0).alias("partition"),
-                                   F.col("split_row").alias("offset"),
-                                   F.timestamp_millis("ts_ms").alias("broker_time"), "key", "value")
-            raw, changelog = as_raw(a.events), as_raw(a.catalog)
+            raw = dump.as_messages(dump.read_dump(spark, a.events))
+            changelog = dump.as_messages(dump.read_dump(spark, a.catalog))
         else:
             raw, changelog = spark.read.parquet(a.events), spark.read.parquet(a.catalog)
         cfg = batch.BatchConfig(a.group, a.namespace, not a.no_late_rule, a.fraud_window_minutes)
         for name, path in batch.run(spark, raw, changelog, a.out, cfg).items():
             print(name, path)
     else:
-        from playlog.sources import kafka
+        from playlog.sources import dump, kafka
         from playlog.streaming import jobs
-        raw = kafka.read_topic(spark, a.bootstrap, a.events_topic)
-        changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
+        if a.dump_events:
+            raw = dump.as_messages(dump.records(dump.stream_lines(spark, a.dump_events)))
+            changelog = (dump.as_messages(dump.records(dump.stream_lines(spark, a.dump_catalog)))
+                         if a.dump_catalog else None)
+        else:
+            raw = kafka.read_topic(spark, a.bootstrap, a.events_topic)
+            changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
         paths = jobs.Paths(a.out)
         if a.to_kafka:
             paths.kafka = jobs.KafkaOut(a.bootstrap, a.group, a.namespace)

@@ -102,3 +102,14 @@ def records(lines: DataFrame) -> DataFrame:
 
 def read_dump(spark: SparkSession, folder: str) -> DataFrame:
     return records(read_lines(spark, folder))
+
+
+def as_messages(recs: DataFrame) -> DataFrame:
+    """Dump records as Kafka-shaped messages for the jobs (batch or stream).
+
+    A replay publishes messages in ``ts_ms`` order with ``ts_ms`` as broker time, so
+    ``ts_ms`` is both the ingestion position and the broker time; one stream-time
+    domain per topic (ties in ``ts_ms`` have no defined order).
+    """
+    return recs.select(F.lit(0).alias("partition"), F.col("ts_ms").alias("offset"),
+                       F.timestamp_millis("ts_ms").alias("broker_time"), "key", "value")

@@ -57,3 +57,19 @@ def test_merge_order_counts_and_preview(spark):
     p = {r.key: r for r in replay.preview(recs).collect()}
     assert len(p["a0"].value_preview) == 110
     assert p["b0"].line == "b | b0 | vb"
+
+
+def test_dump_replayed_into_the_jobs(spark):
+    from decimal import Decimal
+    from playlog.operators import royalties
+    from playlog.operators.ingest import split
+    ev = lambda i, ms: json.dumps({"event_id": f"ev-{i}", "user_id": "u", "track_id": "t",
+                                   "artist": "A", "event_type": "COMPLETE", "ms_played": ms,
+                                   "country": "FR", "timestamp": "2026-07-16T10:00:00Z"})
+    d = write_dump({"events.jsonl": [json.dumps({"key": "u", "value": ev(i, 30000 + i), "ts_ms": i})
+                                     for i in range(4)]
+                    + [json.dumps({"key": "u", "value": ev(1, 30001), "ts_ms": 9}),
+                       json.dumps({"key": "u", "value": "oops", "ts_ms": 10})]})
+    valid, dead = split(dump.as_messages(dump.read_dump(spark, d)))
+    assert dead.count() == 1
+    assert [(r.paid_streams, r.total) for r in royalties.royalties(valid).collect()] == [(4, Decimal("0.012"))]
