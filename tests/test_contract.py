@@ -58,3 +58,14 @@ def test_cli_batch(spark, tmp_path):
               "--out", str(tmp_path / "out"), "--group", "grp07"])
     assert spark.read.parquet(str(tmp_path / "out" / "grp07.royalties")).count() > 0
     assert spark.read.parquet(str(tmp_path / "out" / "grp07.dlq")).count() > 0
+
+
+def test_rerun_replaces_staged_partitions(spark, tmp_path):
+    from conftest import event, raw_frame
+    from playlog.plans import batch
+    staged = str(tmp_path / "staged")
+    batch.stage_validated(raw_frame(spark, [event(), "poison"]), staged)
+    assert batch.read_dead(spark, staged).count() == 1
+    batch.stage_validated(raw_frame(spark, [event()]), staged)       # no dead letters now
+    assert batch.read_dead(spark, staged).count() == 0
+    assert batch.read_valid(spark, staged).count() == 1
