@@ -3,8 +3,8 @@
 ``size_bound`` computes, with one cheap aggregate over the *input* of a small table
 (e.g. the catalog changelog), an upper bound of the table's in-memory size: every
 kept row is one input row, every kept field a piece of its text.  ``bounded_broadcast``
-hints a broadcast only when that bound is under the limit; beyond it the join stays
-a shuffle join (sort-merge, or AQE's runtime choice), which works at any size.
+hints a broadcast only when that bound is under the limit; beyond it the join is hinted
+as a sort-merge join, which works at any size.
 """
 
 from __future__ import annotations

@@ -14,9 +14,10 @@ Layout (one checkpoint per query, all under a shared root):
 * The top query joins the catalog inside ``foreachBatch``, after aggregation, with the
   catalog state current at that micro-batch (as a replicated lookup table would).
 
-Watermarks are global across input partitions and advance between micro-batches, so a
-late event is dropped at most as often as the per-record rule would drop it, possibly
-less; see README.
+A watermark is the maximum event time over all input partitions minus the grace, and
+advances only between micro-batches: compared with a per-record rule on one global
+stream time it drops at most as much (possibly less); a partition far behind the
+others can lose more than under its own stream time.  See README.
 """
 
 from __future__ import annotations
