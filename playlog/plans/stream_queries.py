@@ -27,7 +27,9 @@ def _run(spark: SparkSession, sf_dir: str, name: str, kinds, with_catalog: bool
     paths = jobs.Paths(scratch_path(spark, name))
     raw = fixtures.raw_messages_from(fixtures.events_stream(spark, sf_dir))
     changelog = _catalog_stream(spark, sf_dir) if with_catalog else None
-    jobs.run(spark, raw, paths, changelog, kinds=kinds)
+    # state partitions sized to this session's task slots (a cluster picks its own)
+    trigger = jobs.Trigger(state_partitions=2 * spark.sparkContext.defaultParallelism)
+    jobs.run(spark, raw, paths, changelog, trigger=trigger, kinds=kinds)
     return paths
 
 

@@ -22,6 +22,7 @@ others can lose more than under its own stream time.  See README.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,17 +42,43 @@ STATUS_VALID = "valid"
 STATUS_DEAD = "dead_letter"
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value):
+    """Set a session conf for the duration of a query start (a stream keeps the values
+    it started with)."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 @dataclass
 class Trigger:
-    """``availableNow`` (drain what is there, then stop) or a processing-time period."""
+    """How a query runs: ``availableNow`` (drain what is there, then stop) or a
+    processing-time period; ``state_partitions`` fixes the number of state / shuffle
+    partitions of a stateful query at its first start (None: the session's setting)."""
     available_now: bool = True
     every: str | None = None
+    state_partitions: int | None = None
 
     def apply(self, writer):
         if self.every:
             return writer.trigger(processingTime=self.every)
         return writer.trigger(availableNow=True) if self.available_now else writer
 
+    def start(self, writer, spark: SparkSession, path: str | None = None) -> StreamingQuery:
+        with _session_conf(spark, "spark.sql.shuffle.partitions", self.state_partitions):
+            w = self.apply(writer)
+            return w.start(path) if path else w.start()
+
 
 @dataclass
 class KafkaOut:
@@ -105,7 +132,7 @@ def start_dlq_to_kafka(spark: SparkSession, paths: Paths, schema,
     w = (dead.writeStream.format("kafka").option("kafka.bootstrap.servers", paths.kafka.bootstrap)
          .option("topic", paths.kafka.topic("dlq")).outputMode("append")
          .option("checkpointLocation", paths.checkpoint("dlq_kafka")))
-    return trigger.apply(w).start()
+    return trigger.start(w, spark)
 
 
 def start_validation(raw_stream: DataFrame, paths: Paths, trigger: Trigger = Trigger()
@@ -113,7 +140,7 @@ def start_validation(raw_stream: DataFrame, paths: Paths, trigger: Trigger = Tri
     prepare(raw_stream.sparkSession)
     w = (validated_table(raw_stream).writeStream.format("parquet").partitionBy("status")
          .option("checkpointLocation", paths.checkpoint("validation")).outputMode("append"))
-    return trigger.apply(w).start(paths.validated)
+    return trigger.start(w, raw_stream.sparkSession, paths.validated)
 
 
 def _ensure_dir(spark: SparkSession, path: str) -> None:
@@ -158,7 +185,7 @@ def _upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger) -> Streami
     else:
         w = df.writeStream.foreachBatch(upsert_batch(paths.out(kind)))
     w = w.outputMode("update").option("checkpointLocation", paths.checkpoint(kind))
-    return trigger.apply(w).start()
+    return trigger.start(w, df.sparkSession)
 
 
 def start_skip_rate(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
@@ -180,7 +207,7 @@ def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger =
     out = cur.select("key", *[F.col(f"s.{f}").alias(f) for f in ("deleted",) + catalog.TRACK_FIELDS])
     w = (out.writeStream.foreachBatch(upsert_batch(paths.catalog)).outputMode("update")
          .option("checkpointLocation", paths.checkpoint("catalog")))
-    return trigger.apply(w).start()
+    return trigger.start(w, out.sparkSession)
 
 
 def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
@@ -219,7 +246,7 @@ def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
 
     w = (counts.writeStream.outputMode("update").foreachBatch(enrich_and_write)
          .option("checkpointLocation", paths.checkpoint("top_by_country")))
-    return trigger.apply(w).start()
+    return trigger.start(w, counts.sparkSession)
 
 
 def start_royalties(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
