@@ -61,6 +61,18 @@ def running_max(df: DataFrame, value_col: str, partition_cols: Sequence[str], or
                   .drop("_blk", "_before"))
 
 
+STREAM_TIME = "_stream_time"
+
+
+def with_stream_time(df: DataFrame, time_col: str = "event_time",
+                     domain_cols: Sequence[str] = ("partition",), order_col: str = "offset",
+                     block_rows: int = 1 << 20) -> DataFrame:
+    """Adds the stream time of each record (``_stream_time``); ``late_windows`` reuses it,
+    so several aggregates fed by the same records can share one computation."""
+    return running_max(df, time_col, domain_cols, order_col, out_col=STREAM_TIME,
+                       block_rows=block_rows)
+
+
 def late_windows(df: DataFrame, time_col: str, size: str, slide: str | None, grace: str,
                  domain_cols: Sequence[str] = ("partition",), order_col: str = "offset",
                  block_rows: int = 1 << 20) -> DataFrame:
@@ -68,10 +80,11 @@ def late_windows(df: DataFrame, time_col: str, size: str, slide: str | None, gra
 
     ``df`` must hold exactly the records that reach the aggregate (after its filter),
     with their ingestion position ``order_col`` inside the stream-time domain
-    ``domain_cols`` (the source partition by default).
+    ``domain_cols`` (the source partition by default), or already carry their
+    ``_stream_time`` (``with_stream_time`` over that same record set).
     """
-    timed = running_max(df, time_col, domain_cols, order_col, out_col="_stream_time",
-                        block_rows=block_rows)
+    timed = (df if STREAM_TIME in df.columns else
+             with_stream_time(df, time_col, domain_cols, order_col, block_rows))
     return (timed.select("*", window_of(time_col, size, slide).alias("window"))
                  .filter(F.col("window.end") > F.col("_stream_time") - F.expr(f"INTERVAL {grace}"))
                  .drop("_stream_time"))

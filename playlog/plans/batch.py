@@ -7,7 +7,9 @@
    not from the raw source.
 2. The dead-letter partition is the DLQ output (key, original, reason, JSON value).
 3. Skip rate, top by country (with the catalog), royalties and fraud alerts each read
-   the valid partition and write their output ``<group>.[<namespace>.]<suffix>``.
+   the valid partition and write their output ``<group>.[<namespace>.]<suffix>``.  With
+   the late rule, skip rate and top share one stream-time computation (they aggregate
+   the same records), staged narrow before both read it.
 
 With ``late_rule`` the reference's graces apply (an event updates a window only while
 ``window_end > stream_time - grace``, stream time per source partition in offset
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from playlog import contract as C
 from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
+from playlog.operators.windows import with_stream_time
 from playlog.session import prepare
 from playlog.streaming.jobs import STATUS_DEAD, STATUS_VALID, validated_table
 
@@ -52,12 +55,27 @@ def read_dead(spark: SparkSession, path: str) -> DataFrame:
         "partition", "offset", "key", "original", "reason", "dlq_value")
 
 
-def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig) -> dict[str, DataFrame]:
+LISTEN_COLUMNS = ("partition", "offset", "event_time", "event_type", "track_id", "country")
+
+
+def stage_listens(valid: DataFrame, path: str) -> None:
+    """Skip rate (SKIP or COMPLETE) and top (not START) aggregate the very same valid
+    records, so they share one stream time: computed once here (one narrow shuffle)
+    and staged with only the columns the two outputs need."""
+    listens = valid.filter(F.col("event_type").isin("SKIP", "COMPLETE")).select(*LISTEN_COLUMNS)
+    with_stream_time(listens).write.mode("overwrite").parquet(path)
+
+
+def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig,
+            listens: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four keyed outputs; ``listens`` = staged SKIP/COMPLETE rows with their stream
+    time (late rule on), else they are derived from ``valid``."""
     g = (lambda grace: grace) if cfg.late_rule else (lambda grace: None)
     side = catalog.lookup(changelog)
+    heard = valid if listens is None else listens
     return {
-        "skip_rate": skip_rate.skip_rate(valid, grace=g(C.SKIP_GRACE)),
-        "top_by_country": top_country.top_by_country(valid, side, grace=g(C.TOP_GRACE)),
+        "skip_rate": skip_rate.skip_rate(heard, grace=g(C.SKIP_GRACE)),
+        "top_by_country": top_country.top_by_country(heard, side, grace=g(C.TOP_GRACE)),
         "royalties": royalties.royalties(valid),
         "fraud_alerts": fraud.fraud_alerts(valid, cfg.fraud_window_minutes, grace=g(C.FRAUD_GRACE)),
     }
@@ -74,7 +92,12 @@ def run(spark: SparkSession, raw: DataFrame, changelog: DataFrame, out_root: str
     dlq_name = C.output_name("dlq", cfg.group, cfg.namespace)
     read_dead(spark, staged).write.mode("overwrite").format(cfg.output_format).save(f"{root}/{dlq_name}")
     written[dlq_name] = f"{root}/{dlq_name}"
-    for kind, df in outputs(read_valid(spark, staged), changelog, cfg).items():
+    valid = read_valid(spark, staged)
+    listens = None
+    if cfg.late_rule:
+        stage_listens(valid, f"{root}/_staged/listens")
+        listens = spark.read.parquet(f"{root}/_staged/listens")
+    for kind, df in outputs(valid, changelog, cfg, listens).items():
         name = C.output_name(kind, cfg.group, cfg.namespace)
         df.write.mode("overwrite").format(cfg.output_format).save(f"{root}/{name}")
         written[name] = f"{root}/{name}"

@@ -69,3 +69,21 @@ def test_rerun_replaces_staged_partitions(spark, tmp_path):
     batch.stage_validated(raw_frame(spark, [event()]), staged)       # no dead letters now
     assert batch.read_dead(spark, staged).count() == 0
     assert batch.read_valid(spark, staged).count() == 1
+
+
+def test_batch_job_late_rule_matches_operators(spark, tmp_path):
+    from playlog import contract as C
+    from playlog.operators import fraud, skip_rate, top_country
+    from playlog.operators.catalog import lookup
+    from playlog.plans import batch
+    from playlog.plans import queries as q
+    from playlog.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    raw, cl = fixtures.raw_messages(spark, sf), fixtures.catalog_changelog(spark, sf)
+    out = batch.run(spark, raw, cl, str(tmp_path / "o"), batch.BatchConfig(group="g"))
+    v = q.valid(spark, sf)
+    want = {"g.skiprate": skip_rate.skip_rate(v, grace=C.SKIP_GRACE),
+            "g.top.by-country": top_country.top_by_country(v, lookup(cl), grace=C.TOP_GRACE),
+            "g.alerts.fraud": fraud.fraud_alerts(v, grace=C.FRAUD_GRACE)}
+    for name, df in want.items():
+        assert sorted(spark.read.parquet(out[name]).collect()) == sorted(df.collect()), name
