@@ -1,8 +1,9 @@
-"""Listening-event validation (P1, C3-C7, V1-V10) as one projection.
+"""Listening-event validation (P1, C3-C7, V1-V10) in one map-only pass.
 
 ``validate(raw)`` adds the typed event fields, the event time and ``reason``: NULL when
 the message is valid, else the text of the first rule that fails.  One ``from_json``
-per message; no Python in the hot path.
+per message, a few projections and a fence (see ``jsonparse.fence``); no Python in the
+hot path.
 """
 
 from __future__ import annotations
