@@ -135,3 +135,12 @@ def test_split_is_a_partition_of_the_input(spark):
 def test_dlq_json_keeps_null_original(spark):
     row = invalid_messages(validate(raw_frame(spark, [None]))).first()
     assert row.dlq_value == '{"original":null,"reason":"JSON invalide ou tronque"}'
+
+
+def test_brace_starting_text_is_still_text(spark):
+    values = [event(artist="{The Band}"), event(artist="[Live]"), event(artist='{"x":1}'),
+              (E % 1).replace('"artist":"a"', '"artist":{"x":1}')]
+    rows = validate(raw_frame(spark, values)).orderBy("offset").collect()
+    assert [(r.artist, r.reason) for r in rows[:3]] == [
+        ("{The Band}", None), ("[Live]", None), ('{"x":1}', None)]
+    assert rows[3].reason == C.REASON_BAD_JSON
