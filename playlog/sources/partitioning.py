@@ -16,4 +16,5 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
     slots = target or df.sparkSession.sparkContext.defaultParallelism
+    # the partition count comes from planning the scan (file splits); no data is read
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
