@@ -51,7 +51,7 @@ def lookup(changelog: DataFrame, key_col: str = "key", limit_bytes: int | None =
     """J1's right side: (track key, title, artist, genre, presence marker).
 
     Broadcast only when the changelog's text (an upper bound of the current catalog)
-    fits under the limit; otherwise the join stays a shuffle join.
+    fits under the limit; otherwise it is hinted as a sort-merge join.
     """
     current = latest(changelog, key_col, order_cols)
     side = current.select(F.col(key_col).alias("_track_key"), "title", "artist", "genre",
