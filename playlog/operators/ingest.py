@@ -32,7 +32,11 @@ def invalid_messages(validated: DataFrame) -> DataFrame:
 
 
 def split(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Validate once and return (valid events, dead letters)."""
+    """(valid events, dead letters) as two branches of one validated frame.
+
+    Each branch is its own plan; to parse the input once for both, stage the
+    validated table first (``playlog.plans.batch``) or stream it (``streaming.jobs``).
+    """
     v = validate(raw, value_col)
     return valid_events(v), invalid_messages(v)
 
