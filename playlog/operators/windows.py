@@ -42,23 +42,26 @@ def running_max(df: DataFrame, value_col: str, partition_cols: Sequence[str], or
     partition (possibly a third of all rows) in one task.  Instead: cut the order into
     blocks of at most ``block_rows`` positions, aggregate one maximum per block (small
     table), take the prefix maximum of previous blocks over that small table, join it
-    back on (partition, block) and finish with a window inside each bounded block.  The
-    join's exchange on (partition, block) is the one the in-block window needs anyway.
-    ``inclusive=False`` gives the maximum of strictly earlier rows.
+    back on (partition, block) to a window computed inside each bounded block.  The
+    window's exchange and sort also serve the merge join: one shuffle and one sort of
+    the big side.  ``inclusive=False`` gives the maximum of strictly earlier rows.
     """
     parts = list(partition_cols)
+    keys = [*parts, "_blk"]
     staged = df.withColumn("_blk", F.expr(f"`{order_col}` div {int(block_rows)}"))
-    blocks = staged.groupBy(*parts, "_blk").agg(F.max(value_col).alias("_bmax"))
+    blocks = staged.groupBy(*keys).agg(F.max(value_col).alias("_bmax"))
     before = Window.partitionBy(*parts).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = blocks.select(*parts, "_blk", F.max("_bmax").over(before).alias("_before"))
+    prefix = blocks.select(*keys, F.max("_bmax").over(before).alias("_before"))
     inner_end = Window.currentRow if inclusive else -1
-    inner = (Window.partitionBy(*parts, "_blk").orderBy(order_col)
+    inner = (Window.partitionBy(*keys).orderBy(order_col)
              .rowsBetween(Window.unboundedPreceding, inner_end))
-    # Sort-merge join, never a broadcast: the big side's exchange on (partition, block)
-    # is the one the in-block window needs anyway, so the join adds no exchange there.
-    joined = staged.join(prefix.hint("merge"), [*parts, "_blk"], "left")
-    return (joined.withColumn(out_col, F.greatest(F.col("_before"), F.max(value_col).over(inner)))
-                  .drop("_blk", "_before"))
+    # The in-block window runs first: its exchange on (partition, block) and its sort on
+    # (partition, block, offset) already satisfy the merge join, so the big side is
+    # shuffled and sorted once.  Sort-merge join, never a broadcast.
+    walked = staged.withColumn("_run", F.max(value_col).over(inner))
+    joined = walked.join(prefix.hint("merge"), keys, "left")
+    return (joined.withColumn(out_col, F.greatest(F.col("_before"), F.col("_run")))
+                  .drop("_blk", "_before", "_run"))
 
 
 STREAM_TIME = "_stream_time"
