@@ -33,35 +33,46 @@ def window_bounds(window_col: str = "window") -> list[Column]:
             iso_text(F.col(f"{window_col}.end")).alias("window_end")]
 
 
-def running_max(df: DataFrame, value_col: str, partition_cols: Sequence[str], order_col: str,
-                out_col: str = "running_max", inclusive: bool = True,
+def running_max(df: DataFrame, value_col, partition_cols: Sequence[str], order_col: str,
+                out_col="running_max", inclusive: bool = True,
                 block_rows: int = 1 << 20) -> DataFrame:
     """Prefix maximum of ``value_col`` over ``order_col`` within ``partition_cols``.
 
+    ``value_col`` / ``out_col`` may be lists (column names or expressions / names):
+    several prefix maxima share one pass.
+
     A plain ``max() OVER (PARTITION BY p ORDER BY o)`` would put a whole source
     partition (possibly a third of all rows) in one task.  Instead: cut the order into
     blocks of at most ``block_rows`` positions, aggregate one maximum per block (small
-    table), take the prefix maximum of previous blocks over that small table, join it
+    table), take the prefix maximum of previous blocks over that small table, and join it
     back on (partition, block) to a window computed inside each bounded block.  The
     window's exchange and sort also serve the merge join: one shuffle and one sort of
     the big side.  ``inclusive=False`` gives the maximum of strictly earlier rows.
     """
+    values = value_col if isinstance(value_col, (list, tuple)) else [value_col]
+    outs = out_col if isinstance(out_col, (list, tuple)) else [out_col]
+    vals = [F.col(v) if isinstance(v, str) else v for v in values]
     parts = list(partition_cols)
     keys = [*parts, "_blk"]
-    staged = df.withColumn("_blk", F.expr(f"`{order_col}` div {int(block_rows)}"))
-    blocks = staged.groupBy(*keys).agg(F.max(value_col).alias("_bmax"))
+    staged = df.select("*", F.expr(f"`{order_col}` div {int(block_rows)}").alias("_blk"),
+                       *[v.alias(f"_v{i}") for i, v in enumerate(vals)])
+    blocks = staged.groupBy(*keys).agg(*[F.max(f"_v{i}").alias(f"_b{i}") for i in range(len(vals))])
     before = Window.partitionBy(*parts).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = blocks.select(*keys, F.max("_bmax").over(before).alias("_before"))
+    prefix = blocks.select(*keys, *[F.max(f"_b{i}").over(before).alias(f"_p{i}")
+                                    for i in range(len(vals))])
     inner_end = Window.currentRow if inclusive else -1
     inner = (Window.partitionBy(*keys).orderBy(order_col)
              .rowsBetween(Window.unboundedPreceding, inner_end))
     # The in-block window runs first: its exchange on (partition, block) and its sort on
     # (partition, block, offset) already satisfy the merge join, so the big side is
     # shuffled and sorted once.  Sort-merge join, never a broadcast.
-    walked = staged.withColumn("_run", F.max(value_col).over(inner))
+    walked = staged.select("*", *[F.max(f"_v{i}").over(inner).alias(f"_r{i}")
+                                  for i in range(len(vals))])
     joined = walked.join(prefix.hint("merge"), keys, "left")
-    return (joined.withColumn(out_col, F.greatest(F.col("_before"), F.col("_run")))
-                  .drop("_blk", "_before", "_run"))
+    result = joined.select("*", *[F.greatest(F.col(f"_p{i}"), F.col(f"_r{i}")).alias(o)
+                                  for i, o in enumerate(outs)])
+    tmp = ["_blk"] + [f"_{x}{i}" for i in range(len(vals)) for x in "vrp"]
+    return result.drop(*tmp)
 
 
 STREAM_TIME = "_stream_time"

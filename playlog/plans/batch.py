@@ -8,8 +8,8 @@
 2. The dead-letter partition is the DLQ output (key, original, reason, JSON value).
 3. Skip rate, top by country (with the catalog), royalties and fraud alerts each read
    the valid partition and write their output ``<group>.[<namespace>.]<suffix>``.  With
-   the late rule, skip rate and top share one stream-time computation (they aggregate
-   the same records), staged narrow before both read it.
+   the late rule, the stream times of skip rate, top and fraud come from one narrow
+   pass (``stage_listens``), staged before the three outputs read it.
 
 With ``late_rule`` the reference's graces apply (an event updates a window only while
 ``window_end > stream_time - grace``, stream time per source partition in offset
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from playlog import contract as C
 from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
-from playlog.operators.windows import with_stream_time
+from playlog.operators.windows import STREAM_TIME, running_max
 from playlog.session import prepare
 from playlog.streaming.jobs import STATUS_DEAD, STATUS_VALID, validated_table
 
@@ -55,15 +55,25 @@ def read_dead(spark: SparkSession, path: str) -> DataFrame:
         "partition", "offset", "key", "original", "reason", "dlq_value")
 
 
-LISTEN_COLUMNS = ("partition", "offset", "event_time", "event_type", "track_id", "country")
+LISTEN_COLUMNS = ("partition", "offset", "event_time", "event_type", "track_id", "country",
+                  "user_id")
+COMPLETE_STREAM_TIME = "_stream_time_complete"
 
 
 def stage_listens(valid: DataFrame, path: str) -> None:
-    """Skip rate (SKIP or COMPLETE) and top (not START) aggregate the very same valid
-    records, so they share one stream time: computed once here (one narrow shuffle)
-    and staged with only the columns the two outputs need."""
+    """Stream times of the three windowed outputs in one narrow pass, staged.
+
+    Skip rate (SKIP or COMPLETE) and top (not START) aggregate the very same valid
+    records: one stream time.  Fraud aggregates the COMPLETE ones: its stream time is
+    the running maximum of "event time if COMPLETE" over the same order, read at the
+    COMPLETE rows, so the same window computes it.  Only the columns the three outputs
+    need are staged.
+    """
     listens = valid.filter(F.col("event_type").isin("SKIP", "COMPLETE")).select(*LISTEN_COLUMNS)
-    with_stream_time(listens).write.mode("overwrite").parquet(path)
+    complete_time = F.when(F.col("event_type") == "COMPLETE", F.col("event_time"))
+    timed = running_max(listens, ["event_time", complete_time], ["partition"], "offset",
+                        [STREAM_TIME, COMPLETE_STREAM_TIME])
+    timed.write.mode("overwrite").parquet(path)
 
 
 def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig,
@@ -72,12 +82,18 @@ def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig,
     time (late rule on), else they are derived from ``valid``."""
     g = (lambda grace: grace) if cfg.late_rule else (lambda grace: None)
     side = catalog.lookup(changelog)
-    heard = valid if listens is None else listens
+    heard, completed = valid, valid
+    if listens is not None:
+        heard = listens.drop(COMPLETE_STREAM_TIME)
+        completed = (listens.filter(F.col("event_type") == "COMPLETE")
+                     .withColumn(STREAM_TIME, F.col(COMPLETE_STREAM_TIME))
+                     .drop(COMPLETE_STREAM_TIME))
     return {
         "skip_rate": skip_rate.skip_rate(heard, grace=g(C.SKIP_GRACE)),
         "top_by_country": top_country.top_by_country(heard, side, grace=g(C.TOP_GRACE)),
         "royalties": royalties.royalties(valid),
-        "fraud_alerts": fraud.fraud_alerts(valid, cfg.fraud_window_minutes, grace=g(C.FRAUD_GRACE)),
+        "fraud_alerts": fraud.fraud_alerts(completed, cfg.fraud_window_minutes,
+                                           grace=g(C.FRAUD_GRACE)),
     }
 
 
