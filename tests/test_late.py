@@ -90,3 +90,16 @@ def test_resolved_event_time(spark):
     assert got[(0, 1)] == (t930, "broker")
     assert got[(0, 2)] == (t10, "partition_time")
     assert got[(1, 0)] == (0, "zero")
+
+
+def test_running_max_several_values_in_one_pass(spark):
+    rnd = random.Random(11)
+    rows = [(p, o, rnd.randint(0, 1000), rnd.random() < 0.4) for p in range(2)
+            for o in rnd.sample(range(300), 120)]
+    df = spark.createDataFrame(rows, "p int, o bigint, v int, c boolean")
+    plain = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    cond = F.when(F.col("c"), F.col("v"))
+    want = df.select("p", "o", F.max("v").over(plain).alias("a"), F.max(cond).over(plain).alias("b"))
+    got = running_max(df, ["v", cond], ["p"], "o", ["a", "b"], block_rows=10)
+    assert sorted(want.collect()) == sorted(got.select("p", "o", "a", "b").collect())
+    assert got.columns == ["p", "o", "v", "c", "a", "b"]
