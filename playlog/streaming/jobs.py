@@ -290,7 +290,12 @@ def run(spark: SparkSession, raw_stream: DataFrame, paths: Paths,
     schema = validated_schema(raw_stream)
     started = [start_validation(raw_stream, paths, trigger)]
     if changelog_stream is not None:
-        started.append(start_catalog(changelog_stream, paths, trigger))
+        cat_query = start_catalog(changelog_stream, paths, trigger)
+        started.append(cat_query)
+        if not wait:
+            # like a replicated lookup table: the catalog is loaded before counts are
+            # enriched, so the first results are not emitted against an empty catalog
+            cat_query.processAllAvailable()
     if wait:
         for q in started:
             q.awaitTermination()
