@@ -32,6 +32,11 @@ def main(argv=None) -> None:
     s.add_argument("--dump-events", help="recorded-dump folder streamed as the event topic")
     s.add_argument("--dump-catalog", help="recorded-dump folder streamed as the catalog")
     s.add_argument("--every", default="10 seconds")
+    s.add_argument("--min-partitions", type=int, default=None,
+                   help="Kafka minPartitions for the event topic (default: the cluster's "
+                        "parallelism, so a 6-partition topic is not parsed by 6 tasks)")
+    s.add_argument("--state-partitions", type=int, default=None,
+                   help="state / shuffle partitions of the stateful queries")
     s.add_argument("--to-kafka", action="store_true",
                    help="publish outputs to Kafka topics <group>.[<namespace>.]<suffix>")
     for p in (b, s):
@@ -62,13 +67,15 @@ def main(argv=None) -> None:
             changelog = (dump.as_messages(dump.records(dump.stream_lines(spark, a.dump_catalog)))
                          if a.dump_catalog else None)
         else:
-            raw = kafka.read_topic(spark, a.bootstrap, a.events_topic)
+            min_parts = a.min_partitions or spark.sparkContext.defaultParallelism
+            raw = kafka.read_topic(spark, a.bootstrap, a.events_topic, min_partitions=min_parts)
             changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
         paths = jobs.Paths(a.out)
         if a.to_kafka:
             paths.kafka = jobs.KafkaOut(a.bootstrap, a.group, a.namespace)
         queries = jobs.run(spark, raw, paths, changelog,
-                           jobs.Trigger(available_now=False, every=a.every), wait=False)
+                           jobs.Trigger(available_now=False, every=a.every,
+                                        state_partitions=a.state_partitions), wait=False)
         for q in queries:
             print("started", q.name or q.id)
         spark.streams.awaitAnyTermination()
