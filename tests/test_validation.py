@@ -144,3 +144,8 @@ def test_brace_starting_text_is_still_text(spark):
     assert [(r.artist, r.reason) for r in rows[:3]] == [
         ("{The Band}", None), ("[Live]", None), ('{"x":1}', None)]
     assert rows[3].reason == C.REASON_BAD_JSON
+
+
+def test_pre_1970_instant_is_an_ordinary_event(spark):
+    row = validate(raw_frame(spark, [event(timestamp="1969-12-31T23:00:00Z")])).first()
+    assert row.reason is None and row.event_time_ms == -3600000
