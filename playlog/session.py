@@ -56,17 +56,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system the operator configured; we only
-    fall back to a private temporary folder when the setting is absent (tests).
+    Without that setting a cluster has no folder that every executor sees, so this
+    raises.  Only a ``local`` session (tests, bench), where driver and executors are one
+    process, falls back to a private temporary folder, kept for the whole session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the driver "
+                             "and all executors")
         root = tempfile.mkdtemp(prefix="playlog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

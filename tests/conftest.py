@@ -1,7 +1,6 @@
 import json
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,6 @@ from playlog.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, shuffle_partitions=4, app="playlog-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="playlog-test-ckpt-"))
     yield s
 
 
