@@ -8,7 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlog.llm import quality_rules, token_counts
+from playlog.llm import (
+    byte_bpe,
+    near_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 from playlog.llm.common import vocabulary
 
 
@@ -16,6 +23,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=2)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir), words=4)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.OPAQUE)
+    return secret_scan.scan(documents(spark, sf_dir)).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -26,10 +59,22 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), byte_bpe.pattern()
+    ids = byte_bpe.encode(documents(spark, sf_dir), ranks, pattern)
+    return byte_bpe.decode(ids, ranks, pattern).select(
+        "doc_id", F.expr("length(ids) DIV 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
+        "op2_near_dedup": op2_near_dedup,
+        "op4_secret_scan": op4_secret_scan,
         "op5_quality_rules": op5_quality_rules,
         "op7_token_counts": op7_token_counts,
+        "op10_byte_bpe": op10_byte_bpe,
     }
 
 
