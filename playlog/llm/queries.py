@@ -14,6 +14,7 @@ from playlog.llm import (
     packing,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_counts,
 )
 from playlog.llm.common import vocabulary
@@ -55,6 +56,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+    return suffix_dedup.without_runs(found).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
@@ -73,6 +80,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_near_dedup": op2_near_dedup,
         "op4_secret_scan": op4_secret_scan,
         "op5_quality_rules": op5_quality_rules,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_token_counts": op7_token_counts,
         "op10_byte_bpe": op10_byte_bpe,
     }
