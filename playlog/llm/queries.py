@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from playlog.llm import (
     byte_bpe,
+    fingerprints,
+    license_scan,
     near_dedup,
     packing,
     quality_rules,
     secret_scan,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
 from playlog.llm.common import vocabulary
 
@@ -34,6 +37,12 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir), words=4)
 
 
+def op3_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(
+        documents(spark, sf_dir), license_scan.known(spark)).withColumn(
+        "notices", F.array_join("notices", ","))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -66,6 +75,23 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(docs, labels.select("doc_id", "toxic"), ~held_out)
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.chained(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), byte_bpe.pattern()
     ids = byte_bpe.encode(documents(spark, sf_dir), ranks, pattern)
@@ -74,17 +100,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_near_dedup": op2_near_dedup,
+        "op3_license_digests": op3_license_digests,
         "op4_secret_scan": op4_secret_scan,
         "op5_quality_rules": op5_quality_rules,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_token_counts": op7_token_counts,
+        "op8_toxicity": op8_toxicity,
+        "op9_fingerprints": op9_fingerprints,
         "op10_byte_bpe": op10_byte_bpe,
+        "pipeline": pipeline,
     }
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {}  # filled below
