@@ -10,12 +10,28 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
+import struct
+from unicodedata import is_normalized
 
 import numpy as np
 
 #: Words remembered by a worker, and the longest of them; beyond, words are worked out anew.
-MEMORY = 700_000
+MEMORY = 400_000
 LONGEST = 64
+#: Printable ASCII and Latin letters, but for the one whose lower case is two characters.
+_PLAIN = re.compile("[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
+
+
+def _as_characters() -> dict[int, int]:
+    """Byte -> character: printable ones stand for themselves, the others follow 255."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_AS_CHARACTERS = _as_characters()
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 class Words(dict):
@@ -102,22 +118,59 @@ class WordBpe:
         added = [t["content"] for t in spec["added_tokens"]]
         self.added = set(added)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.pattern = self._pattern(spec)
         self.ids = Words(self._ids)
         self.counts = Words(self._count)
 
+    @staticmethod
+    def _pattern(spec: dict):
+        """The pattern of the pieces, if the file asks for the usual steps: composed
+        characters, lower case, pieces by a pattern, bytes as characters."""
+        import regex
+
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps == ["NFC", "Replace", "Lowercase"] and len(cuts) == 2 and (
+                cuts[0].get("type"), cuts[0].get("behavior"), cuts[0].get("invert"),
+                cuts[1].get("type"), cuts[1].get("add_prefix_space"), cuts[1].get("use_regex"),
+        ) == ("Split", "Removed", True, "ByteLevel", False, False):
+            return regex.compile(cuts[0]["pattern"]["Regex"])
+        return None
+
+    def _pieces(self, word: str) -> list[str]:
+        """A word's pieces, their bytes as characters.  Plain Latin words are cut here, which
+        the library's steps would do no differently; all others by the library."""
+        if self.pattern is not None and word.isprintable() and (
+                word.isascii() or (_PLAIN.fullmatch(word) and is_normalized("NFC", word))):
+            lower = word.lower()
+            if lower.isalpha():
+                found = [lower]
+            elif lower[-1:] in ".,!" and lower[:-1].isalpha():
+                found = [lower[:-1], lower[-1]]
+            else:
+                found = self.pattern.findall(lower)
+            if word.isascii():
+                return found
+            return [p if p.isascii() else p.encode().decode("latin-1").translate(_AS_CHARACTERS)
+                    for p in found]
+        t = self.tokenizer
+        return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))]
+
     def _ids(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        if self.cut and "<" in word:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        else:
+            tokenize = self.tokenizer.model.tokenize
+            ids = [t.id for p in self._pieces(word) for t in tokenize(p)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
 
     def _count(self, word: str) -> int:
         if not word:
             return 0
         if self.cut and "<" in word and (parts := self.cut.split(word))[1:]:
             return sum(1 if p in self.added else self._count(p) for p in parts)
-        t, total = self.tokenizer, 0
-        for piece, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word)):
-            total += merge_count([*piece[:-1], piece[-1] + self.suffix], self.ranks)
-        return total
+        return sum(merge_count([*p[:-1], p[-1] + self.suffix], self.ranks)
+                   for p in self._pieces(word))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
