@@ -1,10 +1,11 @@
 """MinHash near-duplicates with b-bit signatures.
 
-1. One pass over the texts: each document's distinct word shingles, `bands` x `rows` minima, a
-   key per band from whole minima, and the minima's low bits packed into longs.
+1. One pass over the texts: each document's distinct word shingles, `HASHES` minima, keys of
+   bands of whole minima from the first of them, and all minima's low bits packed into longs.
 2. Documents with equal shingle sets are one class; the rest works on one row per class.
 3. Classes that share a band key are candidates.  In each bucket every class is paired with
-   a hub (three orders of hubs over the bands), never all with all.
+   the hub, never all with all: the class whose buckets are largest in sum, which is the one
+   that most copies stem from.
 4. A pair goes on if its sizes allow the threshold and its collision-corrected similarity,
    estimated by counting equal low bits, is not far below it.
 5. The pairs left are confirmed on full sets, made anew from the whole texts.
@@ -13,7 +14,7 @@
    So every pair that shares a bucket is linked, in one component, or compared.
 
 With 24 bands of 4 rows a pair at similarity 0.8 shares no band with probability 3e-6; the
-low-bit estimate lies 0.25 below the threshold, six standard deviations.
+low-bit estimate may lie 0.09 below the threshold, five standard deviations of 512 hashes.
 
 Defined results: a null text counts as empty; texts without words have an empty set and are
 linked with nothing; shorter texts are one shingle; repeated rows are linked; rows with a
@@ -33,7 +34,8 @@ from playlog.llm.common import staged, text_of
 from playlog.llm.components import components
 
 BANDS, ROWS, BITS = 24, 4, 4
-MARGIN = 0.25
+HASHES = 512
+MARGIN = 0.09
 #: Classes of a bucket that are compared at once.
 BLOCK = 2048
 SALTS = 16
@@ -85,8 +87,8 @@ def least_equal(threshold: float, hashes: int, bits: int, margin: float = MARGIN
     return int(np.ceil(hashes * (chance + (1 - chance) * (threshold - margin))))
 
 
-def sketches(docs: DataFrame, n: int, lower: bool, bands: int, rows: int, bits: int, key: str,
-             text: str) -> DataFrame:
+def sketches(docs: DataFrame, n: int, lower: bool, bands: int, rows: int, hashes: int,
+             bits: int, key: str, text: str) -> DataFrame:
     """Per row: key, h (of the text), n_shingles, set (digest), bands, bits."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -98,8 +100,9 @@ def sketches(docs: DataFrame, n: int, lower: bool, bands: int, rows: int, bits:
             for group in shingles.groups(texts):
                 own = shingles.sets(group, n, lower)
                 full = [s for s in own if len(s)]
-                m = minima(full, bands * rows) if full else np.zeros((0, bands * rows), _U)
-                k, w = iter(band_keys(m, bands, rows).tolist()), iter(low_bits(m, bits).tolist())
+                m = minima(full, hashes) if full else np.zeros((0, hashes), _U)
+                k = iter(band_keys(m[:, :bands * rows], bands, rows).tolist())
+                w = iter(low_bits(m, bits).tolist())
                 for s in own:
                     size.append(len(s))
                     digest.append(np.array([s.sum(dtype=_U), shingles.mix(s + _U(1)).sum(dtype=_U)],
@@ -231,11 +234,13 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
 
 def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool = True,
                key: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS,
-               bits: int = BITS, block: int = BLOCK) -> DataFrame:
+               hashes: int = HASHES, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """Per row of `docs`: key, n_shingles, component_id (smallest key of its component) and
     kept (the row that names its component)."""
-    hashes = bands * rows
-    sketch = staged(sketches(docs, words, lower, bands, rows, bits, key, text), "near-dedup")
+    if not bands * rows <= hashes:
+        raise ValueError("the bands need bands * rows hashes")
+    sketch = staged(sketches(docs, words, lower, bands, rows, hashes, bits, key, text),
+                    "near-dedup")
     #: a class is named by the smallest text hash among its members
     full = sketch.where("n_shingles > 0")
     named = full.groupBy("set", "n_shingles").agg(F.min("h").alias("class"),
@@ -243,11 +248,12 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
     classes = staged(full.groupBy("set", "n_shingles").agg(
         F.min(F.struct("h", "bits", "bands")).alias("c")).select(
         "c.h", "n_shingles", "c.bits", "c.bands"), "near-dedup-classes")
-    members = classes.select("h", F.posexplode("bands").alias("band", "bucket"))
-
-    hubs = members.withColumn("order", F.expr("band % 3")).groupBy("bucket").agg(
-        F.min(F.struct(F.xxhash64("h", "order").alias("p"), "h")).alias("hub"),
-        F.count("*").alias("n")).where("n > 1").select("bucket", F.col("hub.h").alias("hub"))
+    alone = classes.select("h", F.explode("bands").alias("bucket"))
+    shared = alone.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = staged(alone.join(shared, "bucket"), "near-dedup-buckets")
+    central = members.groupBy("h").agg(F.sum("n").alias("central"))
+    hubs = members.join(central, "h").groupBy("bucket").agg(
+        F.max(F.struct("central", "h")).alias("hub")).select("bucket", F.col("hub.h").alias("hub"))
     stars = members.join(hubs, "bucket").where("h <> hub").select(
         F.least("h", "hub").alias("a"), F.greatest("h", "hub").alias("b")).distinct()
     first = staged(near(stars, classes, threshold, bits, hashes), "near-dedup-pairs")
@@ -257,7 +263,7 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
     of_label = classes.select("h", "n_shingles", "bits").join(
         labels.withColumnRenamed("v", "h"), "h", "left").withColumn(
         "label", F.coalesce("label", "h"))
-    second = staged(across(members.drop("band").join(of_label, "h"), threshold, bits, hashes,
+    second = staged(across(members.drop("n").join(of_label, "h"), threshold, bits, hashes,
                            block), "near-dedup-pairs")
     if not second.isEmpty():
         more = staged(confirmed(second, docs, words, lower, threshold, text), "near-dedup-links")
