@@ -38,14 +38,12 @@ class ByteBpe:
         import regex
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {raw: i for i, raw in enumerate_ranks(path)}
         self.pattern = regex.compile(pattern)
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks,
                                           special_tokens={})
         self.ids = Words(lambda piece: np.array(
             self.encoding._encode_single_piece(piece), "<u4").tobytes())
-        self.raw = {i: b for b, i in ranks.items()}
 
     def encode(self, text: str, start: int = 0, end: int | None = None) -> bytes:
         """Ids (little-endian unsigned 32-bit) of the pieces that begin in [start, end).
@@ -62,8 +60,17 @@ class ByteBpe:
     def boundaries(self, text: str) -> list[int]:
         return [m.start() for m in self.pattern.finditer(text)]
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def enumerate_ranks(path: str):
+    with open(path, "rb") as f:
+        for a, b in map(bytes.split, f):
+            yield int(b), base64.b64decode(a)
+
+
+@functools.lru_cache(maxsize=2)
+def raw_bytes(path: str) -> dict[int, bytes]:
+    """What decoding needs: each id's bytes."""
+    return dict(enumerate_ranks(path))
 
 
 @functools.lru_cache(maxsize=2)
@@ -155,14 +162,15 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
     return short.unionByName(long).withColumnRenamed("key", key)
 
 
-def decode(encoded: DataFrame, ranks: str, pattern: str, key: str = "doc_id") -> DataFrame:
+def decode(encoded: DataFrame, ranks: str, key: str = "doc_id") -> DataFrame:
     """Per row: its key, `ids` and the `raw` bytes that they stand for."""
     kind = encoded.schema[key].dataType.simpleString()
 
     def raw(batches):
-        bpe = load(ranks, pattern)
+        of = raw_bytes(ranks).__getitem__
         for b in batches:
-            out = pa.array([bpe.decode(x.as_py()) for x in b.column(1)], pa.binary())
+            out = pa.array([b"".join(map(of, np.frombuffer(x.as_buffer(), "<u4").tolist()))
+                            for x in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), out],
                                              ["key", "ids", "raw"])
 
