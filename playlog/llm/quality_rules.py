@@ -116,5 +116,8 @@ def quality_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame
     for layer in measures(text_of(text)):
         out = out.withColumns(layer)
     out = out.drop("_text", "_words", "_lines", "_shouts", "_bits", "_windows", "_places")
-    return (out.withColumn("base_failed", failed([r for r in rules if r.base]))
-            .withColumn("kept", ~F.col("base_failed") & ~failed(rules)))
+    out = (out.withColumn("base_failed", failed([r for r in rules if r.base]))
+           .withColumn("kept", ~F.col("base_failed") & ~failed(rules)))
+    #: a filter on the verdict must not be pushed below the layers, where every metric would
+    #: be worked out once for each use; a generator of one row keeps it above
+    return out.select(F.inline(F.array(F.struct(*(out[f"`{c}`"] for c in out.columns)))))
