@@ -123,4 +123,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {}  # filled below
+    from playlog.llm import oracle
+
+    return oracle.oracle()
