@@ -53,8 +53,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     spans = secret_scan.scan(docs).select(F.col("doc_id").alias("id"), "spans")
     found = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("id")))
-    return found.withColumn("text", secret_scan.redact(
-        F.coalesce("text", F.lit("")), F.col("spans"))).withColumn(
+    return found.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans"))).withColumn(
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -137,8 +137,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", repository: s
 
 
 def redact(text, spans, mask: str = "[secret]"):
-    """Column: `text` with the live spans, overlaps merged, replaced by `mask`."""
-    return F.pandas_udf(_redacted, "string")(text, F.filter(spans, lambda s: s["live"]), F.lit(mask))
+    """Column: `text` (null: empty) with the live spans, overlaps merged, replaced by `mask`."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.pandas_udf(_redacted, "string")(whole, F.filter(spans, lambda s: s["live"]), F.lit(mask))
 
 
 def _redacted(text, spans, mask):
