@@ -37,6 +37,12 @@ def main(argv=None) -> None:
                         "parallelism, so a 6-partition topic is not parsed by 6 tasks)")
     s.add_argument("--state-partitions", type=int, default=None,
                    help="state / shuffle partitions of the stateful queries")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="bound of a micro-batch read from Kafka, in records")
+    s.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="bound of a micro-batch read from dumps or the validated table")
+    s.add_argument("--dedup-ttl", default=None,
+                   help="bound the royalty de-duplication state, e.g. '7 days'")
     s.add_argument("--to-kafka", action="store_true",
                    help="publish outputs to Kafka topics <group>.[<namespace>.]<suffix>")
     for p in (b, s):
@@ -68,14 +74,17 @@ def main(argv=None) -> None:
                          if a.dump_catalog else None)
         else:
             min_parts = a.min_partitions or spark.sparkContext.defaultParallelism
-            raw = kafka.read_topic(spark, a.bootstrap, a.events_topic, min_partitions=min_parts)
+            raw = kafka.read_topic(spark, a.bootstrap, a.events_topic, min_partitions=min_parts,
+                                   max_offsets_per_trigger=a.max_offsets_per_trigger)
             changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
-        paths = jobs.Paths(a.out)
+        paths = jobs.Paths(a.out, group=a.group, namespace=a.namespace)
         if a.to_kafka:
             paths.kafka = jobs.KafkaOut(a.bootstrap, a.group, a.namespace)
         queries = jobs.run(spark, raw, paths, changelog,
                            jobs.Trigger(available_now=False, every=a.every,
-                                        state_partitions=a.state_partitions), wait=False)
+                                        state_partitions=a.state_partitions), wait=False,
+                           fraud_window_minutes=a.fraud_window_minutes,
+                           dedup_ttl=a.dedup_ttl, max_files=a.max_files_per_trigger)
         for q in queries:
             print("started", q.name or q.id)
         spark.streams.awaitAnyTermination()

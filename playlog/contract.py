@@ -67,6 +67,19 @@ UPSERT_KEYS = {
     "fraud_alerts": ("user_id", "track_id", "window_start"),
 }
 
+# ---- FIXED VALUES: published records: key columns, joined by |, and renamed fields --------
+KEY_SEPARATOR = "|"
+PUBLISH_KEYS = {
+    "skip_rate": ("track_id",),
+    "top_by_country": ("country", "track_id"),
+    "royalties": ("artist",),
+    "fraud_alerts": ("user_id", "track_id"),
+}
+PUBLISH_NAMES = {
+    "fraud_alerts": {"user_id": "userId", "track_id": "trackId", "count": "count",
+                     "window_start": "windowStart", "window_end": "windowEnd"},
+}
+
 
 def output_name(kind: str, group: str = DEFAULT_GROUP, namespace: str = "") -> str:
     """Topic / table name of an output: ``<group>.[<namespace>.]<suffix>``."""

@@ -1,8 +1,8 @@
 """Instants: strict ISO-8601 parse (C6), ISO text of window bounds (C10), epoch ms.
 
 ``parse_iso_instant`` accepts what an ISO instant parser accepts: date, ``T``, hours,
-minutes, seconds, an optional fraction of up to nine digits and ``Z`` or a numeric
-offset, letters in either case.  ``24:00:00`` means the next midnight and
+minutes, seconds, an optional fraction of up to nine digits and ``Z`` or an offset of
+hours and minutes (seconds optional), letters in either case.  ``24:00:00`` means the next midnight and
 ``23:59:60`` (leap second) reads as ``23:59:59``.  Everything else gives NULL.
 Spark's own cast alone is looser (date only, a blank for ``T``, no zone), hence the
 pattern guard in front of it.
@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_INSTANT_RE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{0,9})?"
-                  r"(Z|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?)?)$")
+                  r"(Z|[+-][0-9]{2}:[0-9]{2}(:[0-9]{2})?)$")
 _END_OF_DAY_RE = r"T24:00:00(\.0{0,9})?(?=[Z+-])"
 _LEAP_SECOND_RE = r"T23:59:60"
 

@@ -3,7 +3,7 @@
 A compacted topic read as a table: the last value per key wins and a null value
 deletes the key.  A value that cannot be read as a track is set aside (as a
 log-and-continue deserialisation handler would), so the key keeps its previous state.
-``latest`` is one partial + final hash aggregate (``max_by`` over the ingestion
+``latest`` is one partial + final sort aggregate (``max_by`` over the ingestion
 position), so a key rewritten a billion times is still pre-aggregated map-side.
 """
 

@@ -20,8 +20,12 @@ def _in(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-ISO_RE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{0,9})?"
-          r"(Z|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?)?)$")
+#: The two parts of an instant, written for DuckDB on their own: local time, zone.
+LOCAL_RE = r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{0,9})?"
+ZONE_RE = r"Z|[-+]\d\d:\d\d|[-+]\d\d:\d\d:\d\d"
+#: Java's white space, spelled out (no-break spaces are not in it).
+BLANK_RE = (r"[\t-\r\x1C-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}"
+            r"\x{2028}\x{2029}\x{205F}\x{3000}]*")
 TRIM_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
@@ -54,12 +58,15 @@ def _int(json_col: str, field: str) -> tuple[str, str]:
 
 
 def _blank(x: str) -> str:
-    return f"({x} IS NULL OR regexp_full_match({x}, '\\s*'))"
+    return f"({x} IS NULL OR regexp_full_match({x}, '{BLANK_RE}'))"
 
 
 def _iso_ms(x: str) -> str:
     u = f"upper({x})"
-    return f"CASE WHEN regexp_full_match({u}, '{ISO_RE}') THEN epoch_ms(TRY_CAST({u} AS TIMESTAMPTZ)) END"
+    local = f"regexp_extract({u}, '^({LOCAL_RE})', 1)"
+    zone = f"substring({u}, length({local}) + 1)"
+    return (f"CASE WHEN {local} <> '' AND regexp_full_match({zone}, '{ZONE_RE}') "
+            f"THEN epoch_ms(TRY_CAST({u} AS TIMESTAMPTZ)) END")
 
 
 def fixture_ctes() -> str:

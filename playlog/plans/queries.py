@@ -27,29 +27,13 @@ LATE_GRACE_SKIP = "1 hour"
 LATE_GRACE_TOP = "1 hour"
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _plan(spark: SparkSession, sf_dir: str, what: str, build) -> DataFrame:
-    """Build a shared logical plan once per session and input folder.
-
-    Only the plan is kept (no data is cached): every query still reads and computes
-    everything when it runs.  Saves rebuilding the same parse/validation expressions
-    (thousands of JVM calls) for each registered query.
-    """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), what)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _plan(spark, sf_dir, "raw", lambda: fixtures.raw_messages(spark, sf_dir))
+    return fixtures.raw_messages(spark, sf_dir)
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "validated", lambda: validate(raw(spark, sf_dir)))
+    return validate(raw(spark, sf_dir))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +42,11 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _plan(spark, sf_dir, "changelog", lambda: fixtures.catalog_changelog(spark, sf_dir))
+    return fixtures.catalog_changelog(spark, sf_dir)
 
 
 def catalog_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "catalog_side", lambda: catalog.lookup(changelog(spark, sf_dir)))
+    return catalog.lookup(changelog(spark, sf_dir))
 
 
 # ---- ingestion ----------------------------------------------------------------------

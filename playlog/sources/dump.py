@@ -80,12 +80,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     stripped = F.regexp_replace(F.col("line"), f"^{_WS}+|{_WS}+$", "")
     staged = lines.select("topic", *POSITION, stripped.alias("_s"))
     parsed = staged.select("topic", *POSITION, (F.col("_s") == "").alias("blank"),
-                           F.from_json("_s", LINE_SCHEMA, {"mode": "PERMISSIVE"}).alias("_r"))
+                           (F.startswith("_s", F.lit("{")) & F.endswith("_s", F.lit("}")))
+                           .alias("_whole"),
+                           F.from_json("_s", LINE_SCHEMA, {
+                               "mode": "PERMISSIVE", "allowSingleQuotes": "false"}).alias("_r"))
     r = F.col("_r")
     v_type = F.schema_of_variant(r.value)
     ts, ts_bad = _ts_ms(r.ts_ms)
     value = F.when(r.value.isNull(), F.lit("")).otherwise(F.try_variant_get(r.value, "$", "string"))
-    bad = (r.isNull() | r._corrupt_record.isNotNull() | ts_bad
+    bad = (~F.col("_whole") | r.isNull() | r._corrupt_record.isNotNull() | ts_bad
            | F.coalesce(~v_type.isin("STRING", "VOID"), F.lit(False)))
     return fence(parsed.select(
         "topic", *POSITION,
@@ -107,9 +110,13 @@ def read_dump(spark: SparkSession, folder: str) -> DataFrame:
 def as_messages(recs: DataFrame) -> DataFrame:
     """Dump records as Kafka-shaped messages for the jobs (batch or stream).
 
-    A replay publishes messages in ``ts_ms`` order with ``ts_ms`` as broker time, so
-    ``ts_ms`` is both the ingestion position and the broker time; one stream-time
-    domain per topic (ties in ``ts_ms`` have no defined order).
+    A replay publishes a topic's file line by line with ``ts_ms`` as broker time, so the
+    line order is the ingestion order.  In batch the offset is the split's byte offset plus
+    the line's number in its task: it grows with the line order of a file, as a line takes
+    at least one byte and only the last, short split of a file shares a task with others.
+    A stream has no line numbers; there ``ts_ms`` is the position and ties have no order.
     """
-    return recs.select(F.lit(0).alias("partition"), F.col("ts_ms").alias("offset"),
+    line = F.col("split_start") + F.col("split_row").bitwiseAND((1 << 33) - 1)
+    return recs.select(F.lit(0).alias("partition"),
+                       F.coalesce(line, F.col("ts_ms")).alias("offset"),
                        F.timestamp_millis("ts_ms").alias("broker_time"), "key", "value")

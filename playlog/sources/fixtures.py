@@ -1,6 +1,6 @@
 """Adapter from the driver's tables to listening-event inputs (see FIXTURES.md).
 
-* ``clean_events``  – one listening event per ``events`` row, one second apart, with
+* ``clean_events_from``  – one listening event per ``events`` row, one second apart, with
   a planted stream farm (``u-farm``/``trk-farm``) and a planted flop (``trk-flop``);
 * ``raw_messages``  – the same events as Kafka-shaped JSON messages
   (``partition, offset, broker_time, key, value``) with anomalies planted by
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlog.sources.partitioning import spread
 
 # 2026-07-04T00:00:00Z, the first event's second.
 BASE_EPOCH_S = 1783123200
@@ -68,6 +67,7 @@ EVENTS_BODY = [
 # 24 ms_played beyond INT | 25 ms_played true | 26 track_id an object | 27 array root
 # 28 lower-case t / z (valid) | 29 blank instead of T | 30 white space between tokens (valid)
 # 31 ms_played null | 32 ms_played "" | 33 country null | 34 ms_played 12.7e3 (valid)
+# 35 hour-only offset | 36 artist U+2003 (blank) | 37 artist U+00A0 (not blank: valid)
 SPARK_RAW_HEAD = [
     "*", "seq % 200 AS a",
     "CASE WHEN seq % 200 = 10 THEN ts - INTERVAL 90 MINUTES ELSE ts END AS ets",
@@ -90,7 +90,8 @@ RAW_JSON = [
     " ELSE '\"' || user_id || '\"' END"
     " || CASE a WHEN 0 THEN '' WHEN 26 THEN ',\"track_id\":{\"id\":\"' || track_id || '\"}'"
     " ELSE ',\"track_id\":\"' || track_id || '\"' END"
-    " || ',\"artist\":' || CASE a WHEN 19 THEN '\"  \"' ELSE '\"' || artist || '\"' END"
+    " || ',\"artist\":' || CASE a WHEN 19 THEN '\"  \"' WHEN 36 THEN '\"\u2003\"'"
+    " WHEN 37 THEN '\"\u00a0\"' ELSE '\"' || artist || '\"' END"
     " || ',\"event_type\":' || CASE a WHEN 1 THEN 'null' WHEN 4 THEN '\"COMPLETEE\"'"
     " ELSE '\"' || event_type || '\"' END"
     " || ',\"ms_played\":' || CASE a WHEN 2 THEN '\"douze\"' WHEN 3 THEN '-5000'"
@@ -102,7 +103,7 @@ RAW_JSON = [
     " ELSE '\"' || country || '\"' END"
     " || CASE a WHEN 22 THEN ''"
     " ELSE ',\"timestamp\":\"' || CASE a WHEN 5 THEN 'hier a 15h'"
-    " WHEN 14 THEN iso_p2 || '+02:00' WHEN 23 THEN substring(iso, 1, 10)"
+    " WHEN 14 THEN iso_p2 || '+02:00' WHEN 35 THEN iso_p2 || '+02' WHEN 23 THEN substring(iso, 1, 10)"
     " WHEN 28 THEN replace(iso, 'T', 't') || 'z' WHEN 29 THEN replace(iso, 'T', ' ') || 'Z'"
     " ELSE iso || 'Z' END || '\"' END"
     " || CASE a WHEN 17 THEN ',\"device\":{\"os\":\"ios\",\"v\":[1,2]}' ELSE '' END"
@@ -156,8 +157,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _input(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
-    """A driver table as a parse input: only the needed columns, spread over the slots."""
-    return spread(_table(spark, sf_dir, name).select(*columns))
+    """A driver table as a parse input: only the needed columns.
+
+    Split size (``spark.sql.files.maxPartitionBytes``) gives the parse its parallelism.
+    ``spark.playlog.inputPartitions``, if set, deals every input to exactly that many
+    partitions (for a table of one small file); the plan never depends on the data.
+    """
+    df = _table(spark, sf_dir, name).select(*columns)
+    n = spark.conf.get("spark.playlog.inputPartitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 EVENTS_INPUT = ("event_id", "user_id", "event_type", "value", "props")
@@ -178,10 +186,6 @@ def raw_messages_from(events: DataFrame) -> DataFrame:
             .selectExpr(*SPARK_RAW_COPIES).selectExpr(*quoted(RAW_OUT, "`")))
 
 
-def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_events_from(_input(spark, sf_dir, "events", EVENTS_INPUT))
-
-
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_messages_from(_input(spark, sf_dir, "events", EVENTS_INPUT))
 
@@ -213,5 +217,5 @@ def part_stream(spark: SparkSession, sf_dir: str, min_partitions: int | None = N
     return stream.select(*PART_INPUT).repartition(slots)
 
 
-__all__ = ["clean_events", "raw_messages", "catalog_changelog", "clean_events_from",
+__all__ = ["raw_messages", "catalog_changelog", "clean_events_from",
            "raw_messages_from", "events_stream", "part_stream"]

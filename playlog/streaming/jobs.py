@@ -36,7 +36,7 @@ from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
 from playlog.operators.joins import bounded_broadcast, size_bound
 from playlog.operators.windows import window_bounds
 from playlog.session import prepare
-from playlog.streaming.sinks import read_table, to_kafka, upsert_batch
+from playlog.streaming.sinks import publish, read_table, upsert_batch
 
 STATUS_VALID = "valid"
 STATUS_DEAD = "dead_letter"
@@ -98,6 +98,8 @@ class Paths:
     validated: str = field(init=False)
     catalog: str = field(init=False)
     kafka: KafkaOut | None = None
+    group: str = C.DEFAULT_GROUP
+    namespace: str = ""
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
@@ -105,7 +107,7 @@ class Paths:
         self.catalog = f"{self.root}/catalog"
 
     def out(self, kind: str) -> str:
-        return f"{self.root}/out/{C.OUTPUT_SUFFIXES.get(kind, kind)}"
+        return f"{self.root}/out/{C.output_name(kind, self.group, self.namespace)}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
@@ -150,9 +152,17 @@ def _ensure_dir(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hpath)
 
 
-def _table_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+def _exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def _table_stream(spark: SparkSession, path: str, schema,
+                  max_files: int | None = None) -> DataFrame:
+    """The validated table as a stream; ``max_files`` bounds a micro-batch."""
     _ensure_dir(spark, path)
-    return spark.readStream.schema(schema).parquet(path)
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(path)
 
 
 def validated_schema(raw_stream: DataFrame):
@@ -162,8 +172,9 @@ def validated_schema(raw_stream: DataFrame):
     return StructType(cols + [StructField("status", StringType(), True)])
 
 
-def valid_stream(spark: SparkSession, paths: Paths, schema) -> DataFrame:
-    s = _table_stream(spark, paths.validated, schema)
+def valid_stream(spark: SparkSession, paths: Paths, schema,
+                 max_files: int | None = None) -> DataFrame:
+    s = _table_stream(spark, paths.validated, schema, max_files)
     return s.filter(F.col("status") == STATUS_VALID).select(
         *[c for c in ("partition", "offset") if c in s.columns], *EVENT_COLUMNS)
 
@@ -179,7 +190,7 @@ def dead_letters(spark: SparkSession, paths: Paths) -> DataFrame:
 def _upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger) -> StreamingQuery:
     """Update-mode output of one keyed result: upsert table, or Kafka changelog topic."""
     if paths.kafka is not None:
-        w = (to_kafka(df, C.UPSERT_KEYS[kind]).writeStream.format("kafka")
+        w = (publish(df, kind).writeStream.format("kafka")
              .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
              .option("topic", paths.kafka.topic(kind)))
     else:
@@ -211,10 +222,11 @@ def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger =
 
 
 def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
-    try:
-        state = read_table(spark, paths.catalog, ["key"])
-    except Exception:  # no catalog written yet: every track is uncatalogued
+    """The catalog's rows, or None as long as none was written (every track is then
+    uncatalogued).  Any error while reading it fails the micro-batch."""
+    if not _exists(spark, paths.catalog):
         return None
+    state = read_table(spark, paths.catalog, ["key"])
     return state.filter(~F.col("deleted")).drop("deleted")
 
 
@@ -240,7 +252,7 @@ def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
         if paths.kafka is None:
             write(enriched, batch_id)
         else:   # at-least-once, like the Kafka sink itself
-            (to_kafka(enriched, C.UPSERT_KEYS["top_by_country"]).write.format("kafka")
+            (publish(enriched, "top_by_country").write.format("kafka")
              .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
              .option("topic", paths.kafka.topic("top_by_country")).save())
 
@@ -280,11 +292,13 @@ KINDS = ("skip_rate", "top_by_country", "royalties", "fraud_alerts")
 
 def run(spark: SparkSession, raw_stream: DataFrame, paths: Paths,
         changelog_stream: DataFrame | None = None, trigger: Trigger = Trigger(),
-        kinds=KINDS, wait: bool = True) -> list[StreamingQuery]:
+        kinds=KINDS, wait: bool = True, fraud_window_minutes: int = C.FRAUD_WINDOW_MINUTES,
+        dedup_ttl: str | None = None, max_files: int | None = None) -> list[StreamingQuery]:
     """Start validation, the catalog and the requested outputs.
 
     With ``availableNow`` and ``wait``, stages run in order (validation, catalog, then
-    the outputs) so that each drains what the previous produced.
+    the outputs) so that each drains what the previous produced.  ``max_files`` bounds a
+    micro-batch of the outputs; the inputs bring their own bounds.
     """
     prepare(spark)
     schema = validated_schema(raw_stream)
@@ -299,12 +313,14 @@ def run(spark: SparkSession, raw_stream: DataFrame, paths: Paths,
     if wait:
         for q in started:
             q.awaitTermination()
-    valid = valid_stream(spark, paths, schema)
+    valid = valid_stream(spark, paths, schema, max_files)
     if paths.kafka is not None:
         started.append(start_dlq_to_kafka(spark, paths, schema, trigger))
     starters = {"skip_rate": start_skip_rate, "top_by_country": start_top,
                 "royalties": start_royalties, "fraud_alerts": start_fraud}
-    outs = [starters[k](valid, paths, trigger) for k in kinds]
+    options = {"royalties": {"dedup_ttl": dedup_ttl},
+               "fraud_alerts": {"window_minutes": fraud_window_minutes}}
+    outs = [starters[k](valid, paths, trigger, **options.get(k, {})) for k in kinds]
     if wait:
         for q in outs:
             q.awaitTermination()

@@ -7,7 +7,7 @@
   (idempotent); ``read_table`` takes the newest row per key (``max_by`` over the batch
   id): the table's current state.  ``compact`` rewrites that state as one batch.
 * The dead-letter output is append-only (exactly-once through the file sink's log).
-* ``to_kafka`` shapes any output as Kafka ``key``/``value`` text for the Kafka sink
+* ``publish`` shapes a keyed output as the contract's records; ``to_kafka`` any output as Kafka ``key``/``value`` text for the Kafka sink
   (the connector jar is not bundled here; the shaping is plain columns).
 """
 
@@ -18,6 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlog import contract as C
 from playlog.functions.jsonparse import to_json_text
 
 BATCH_COL = "_batch"
@@ -53,9 +54,10 @@ def to_kafka(df: DataFrame, key_cols: Sequence[str], sep: str = "|") -> DataFram
     return df.select(key.alias("key"), to_json_text(*[F.col(c) for c in df.columns]).alias("value"))
 
 
-def kafka_writer(df: DataFrame, bootstrap: str, topic: str, checkpoint: str,
-                 output_mode: str = "update"):
-    """A Kafka sink for an already shaped (key, value) stream."""
-    return (df.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-              .option("topic", topic).option("checkpointLocation", checkpoint)
-              .outputMode(output_mode))
+def publish(df: DataFrame, kind: str) -> DataFrame:
+    """Records of a keyed output as the contract publishes them: the key carries no window
+    (the window is in the value), alerts have their own field names."""
+    names = C.PUBLISH_NAMES.get(kind, {})
+    key = F.concat_ws(C.KEY_SEPARATOR, *[F.col(c) for c in C.PUBLISH_KEYS[kind]])
+    value = to_json_text(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+    return df.select(key.alias("key"), value.alias("value"))
