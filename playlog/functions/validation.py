@@ -8,6 +8,8 @@ hot path.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,19 +58,28 @@ def reason_of(f: dict[str, Column], unreadable: Column, event_time: Column) -> C
     )
 
 
-def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Keep every input column, add the event columns and ``reason``.
+def validate(raw: DataFrame, value_col: str = "value", where: Column | str | None = None,
+             keep: Sequence[str] | None = None) -> DataFrame:
+    """Keep the input columns, add the event columns and ``reason``.
+
+    ``where`` (a condition on input columns) and ``keep`` (the input columns to carry; all
+    by default) apply before the parse, so they reach the source as partition filters,
+    pushed filters and a pruned read schema.  Behind the parse nothing is pushed back.
 
     Works on batch and streaming frames alike.  ``event_time`` is the payload instant
     (TIMESTAMP, UTC) when the message is readable and its timestamp parses, whatever
     the other rules say (it is what the event-time rule W4 uses).
     """
+    if where is not None:
+        raw = raw.where(where)
+    carried = list(raw.columns if keep is None else keep)
+    raw = raw.select(*dict.fromkeys([*carried, value_col]))
     parsed = parse_record(raw, value_col, TEXT_FIELDS, ("ms_played",))
     timed = parsed.withColumn(
         "event_time", F.when(~F.col("_unreadable"), parse_iso_instant(F.col("timestamp"))))
     reason = reason_of({n: F.col(n) for n in EVENT_FIELDS}, F.col("_unreadable"),
                        F.col("event_time"))
-    return fence(timed.select(*[F.col(c) for c in raw.columns],
+    return fence(timed.select(*[F.col(c) for c in carried],
                               *[F.col(n) for n in EVENT_FIELDS], "event_time",
                               epoch_millis(F.col("event_time")).alias("event_time_ms"),
                               reason.alias("reason")))

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (window alignment and ISO text are UTC).
 REQUIRED_CONF = {
@@ -75,3 +75,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return "/".join([checkpoint_root(spark), "playlog", *parts, uuid.uuid4().hex])
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint root and read it back: computed once however
+    often it is used, and a lost executor re-reads it."""
+    path = scratch_path(df.sparkSession, "staged", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

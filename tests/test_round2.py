@@ -100,3 +100,36 @@ def test_dump_lines_keep_their_order(spark, tmp_path):
             assert [r["title"] for r in latest] == ["v6"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_source_filters_and_columns_reach_the_scan(spark, tmp_path):
+    from playlog.functions.validation import validate
+
+    spark.sql("SELECT 1 AS partition, 5L AS offset, 'k' AS key, '{}' AS value, 'x' AS extra, "
+              "'d' AS day").write.partitionBy("day").parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    df = validate(raw, where="day = 'd' AND offset > 3", keep=["partition", "offset"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "FileScan" in x)
+    assert "isnotnull(day" in scan and "GreaterThan(offset,3)" in scan
+    assert "ReadSchema: struct<partition:int,offset:bigint,value:string>" in scan
+    assert df.columns[:2] == ["partition", "offset"] and df.count() == 1
+
+
+def test_generated_methods_stay_compilable(spark):
+    """The JVM stops compiling a method at 8000 bytes of code."""
+    from playlog.functions.validation import validate
+
+    raw = spark.createDataFrame([(0, 0, "k", "{}")], "partition int, offset long, key string, value string")
+    plan = validate(raw)._jdf.queryExecution().executedPlan()
+    codes = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 7800
+
+
+def test_late_queries_parse_once(spark):
+    from playlog.plans import queries
+
+    for name in ("late_filtered_skip_rate", "event_time_resolved"):
+        plan = queries.registry()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        assert "from_json" not in plan.optimizedPlan().toString()
