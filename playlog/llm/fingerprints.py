@@ -45,16 +45,16 @@ def bins(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray
 
 def densified(values: np.ndarray) -> np.ndarray:
     empty = values == _U(2**64 - 1)
-    out, attempt = values.copy(), 0
-    full = ~empty.all(axis=1)
-    i = np.arange(BINS, dtype=_U)
-    left = empty & full[:, None]
-    while left.any():
+    out = values.copy()
+    row, col = np.nonzero(empty & ~empty.all(axis=1)[:, None])
+    attempt = 0
+    while len(row):  # only what is still empty; a text with one full bin takes the longest
         attempt += 1
-        donor = (shingles.mix(i * _U(0x9E3779B97F4A7C15) + _U(attempt)) % _U(BINS)).astype(np.int64)
-        can = left & ~empty[:, donor]
-        out = np.where(can, values[:, donor], out)
-        left &= ~can
+        donor = (shingles.mix(np.arange(BINS, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(attempt))
+                 % _U(BINS)).astype(np.int64)[col]
+        found = ~empty[row, donor]
+        out[row[found], col[found]] = values[row[found], donor[found]]
+        row, col = row[~found], col[~found]
     return out
 
 
