@@ -36,7 +36,7 @@ from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
 from playlog.operators.joins import bounded_broadcast, size_bound
 from playlog.operators.windows import window_bounds
 from playlog.session import prepare
-from playlog.streaming.sinks import publish, read_table, upsert_batch
+from playlog.streaming.sinks import batches, publish, read_table, upsert_batch
 
 STATUS_VALID = "valid"
 STATUS_DEAD = "dead_letter"
@@ -152,11 +152,6 @@ def _ensure_dir(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hpath)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
-
-
 def _table_stream(spark: SparkSession, path: str, schema,
                   max_files: int | None = None) -> DataFrame:
     """The validated table as a stream; ``max_files`` bounds a micro-batch."""
@@ -194,7 +189,7 @@ def _upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger) -> Streami
              .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
              .option("topic", paths.kafka.topic(kind)))
     else:
-        w = df.writeStream.foreachBatch(upsert_batch(paths.out(kind)))
+        w = df.writeStream.foreachBatch(upsert_batch(paths.out(kind), C.UPSERT_KEYS[kind]))
     w = w.outputMode("update").option("checkpointLocation", paths.checkpoint(kind))
     return trigger.start(w, df.sparkSession)
 
@@ -216,7 +211,7 @@ def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger =
                      *[F.col(f) for f in catalog.TRACK_FIELDS])
     cur = usable.groupBy("key").agg(F.max_by(state, F.struct("partition", "offset")).alias("s"))
     out = cur.select("key", *[F.col(f"s.{f}").alias(f) for f in ("deleted",) + catalog.TRACK_FIELDS])
-    w = (out.writeStream.foreachBatch(upsert_batch(paths.catalog)).outputMode("update")
+    w = (out.writeStream.foreachBatch(upsert_batch(paths.catalog, ["key"])).outputMode("update")
          .option("checkpointLocation", paths.checkpoint("catalog")))
     return trigger.start(w, out.sparkSession)
 
@@ -224,7 +219,7 @@ def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger =
 def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
     """The catalog's rows, or None as long as none was written (every track is then
     uncatalogued).  Any error while reading it fails the micro-batch."""
-    if not _exists(spark, paths.catalog):
+    if not batches(spark, paths.catalog)[0]:
         return None
     state = read_table(spark, paths.catalog, ["key"])
     return state.filter(~F.col("deleted")).drop("deleted")
@@ -244,7 +239,7 @@ def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
               ) -> StreamingQuery:
     counts = top_country.listen_counts(valid.withWatermark("event_time", grace), size, slide)
     out_path = paths.out("top_by_country")
-    write = upsert_batch(out_path)
+    write = upsert_batch(out_path, C.UPSERT_KEYS["top_by_country"])
 
     def enrich_and_write(batch: DataFrame, batch_id: int) -> None:
         side = catalog_side_now(batch.sparkSession, paths)

@@ -2,10 +2,10 @@
 
 * Keyed outputs (skip rate, top, royalties, fraud, catalog) are changelogs: update
   mode emits the new value of every key touched by a micro-batch.  ``upsert_batch``
-  writes each micro-batch under its own ``_batch=<id>`` partition with dynamic
-  partition overwrite, so a batch replayed after a failure replaces its own files
-  (idempotent); ``read_table`` takes the newest row per key (``max_by`` over the batch
-  id): the table's current state.  ``compact`` rewrites that state as one batch.
+  writes each micro-batch to its own ``_batch=<id>`` folder, so a batch replayed after a
+  failure replaces its own files (idempotent), and every so often a batch holds the whole
+  state; ``read_table`` takes the newest row per key (``max_by`` over the batch id) from
+  there on: the table's current state.
 * The dead-letter output is append-only (exactly-once through the file sink's log).
 * ``publish`` shapes a keyed output as the contract's records; ``to_kafka`` any output as Kafka ``key``/``value`` text for the Kafka sink
   (the connector jar is not bundled here; the shaping is plain columns).
@@ -22,29 +22,87 @@ from playlog import contract as C
 from playlog.functions.jsonparse import to_json_text
 
 BATCH_COL = "_batch"
+BASE_MARK = "_whole_state"
+COMPACT_EVERY = 32
 
 
-def upsert_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function writing one idempotent partition per micro-batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(BATCH_COL).parquet(path))
-    return write
+def _folder(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current state of an upserted table: the newest row of every key."""
-    df = spark.read.parquet(path)
+def batches(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """(ids of the batches of an upsert table, those among them that hold the whole state),
+    both ascending; empty if nothing was written yet."""
+    root, fs = _folder(spark, path)
+    if not fs.exists(root):
+        return [], []
+    ids, full = [], []
+    for f in fs.listStatus(root):
+        name = f.getPath().getName()
+        if name.startswith(f"{BATCH_COL}="):
+            i = int(name.removeprefix(f"{BATCH_COL}="))
+            ids.append(i)
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), BASE_MARK)):
+                full.append(i)
+    return sorted(ids), sorted(full)
+
+
+def _read(spark: SparkSession, path: str, ids: Sequence[int]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{BATCH_COL}={i}" for i in ids])
+
+
+def _newest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     values = [c for c in df.columns if c not in keys and c != BATCH_COL]
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_v"))
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def upsert_batch(path: str, keys: Sequence[str] | None = None, every: int = COMPACT_EVERY
+                 ) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function writing one folder per micro-batch; a replayed batch
+    replaces its own.
+
+    Each ``every``-th batch writes the whole state (its rows merged into the newest state
+    before it) and marks it; readers start at the newest mark.  What lies before the mark
+    before that goes, so a reader that has just listed the folders keeps its files for
+    ``every`` batches, and a table has at most 2 * ``every`` + 1 folders.  Without ``keys``
+    there is no state to merge and every batch stays.
+    """
+    path = path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ids, full = batches(spark, path)
+        ids, full = [i for i in ids if i < batch_id], [i for i in full if i < batch_id]
+        whole = keys is not None and bool(ids) and batch_id % every == 0
+        rows = batch
+        if whole:
+            start = full[-1] if full else ids[0]
+            rows = _newest(_read(spark, path, [i for i in ids if i >= start]).unionByName(
+                batch.withColumn(BATCH_COL, F.lit(batch_id))), keys)
+        leaf = f"{path}/{BATCH_COL}={batch_id}"
+        rows.write.mode("overwrite").parquet(leaf)
+        if whole:
+            mark, fs = _folder(spark, f"{leaf}/{BASE_MARK}")
+            fs.create(mark).close()
+            for i in [i for i in ids if full and i < full[-1]]:
+                old, fs = _folder(spark, f"{path}/{BATCH_COL}={i}")
+                fs.delete(old, True)
+    return write
+
+
+def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current state of an upserted table: the newest row of every key since the newest
+    batch that holds the whole state."""
+    path = path.rstrip("/")
+    ids, full = batches(spark, path)
+    return _newest(_read(spark, path, [i for i in ids if not full or i >= full[-1]]), keys)
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], out_path: str) -> DataFrame:
-    """Write the current state once (one batch), e.g. before serving or archiving."""
-    state = read_table(spark, path, keys)
-    upsert_batch(out_path)(state, 0)
+    """Write the current state once, as one batch, to another place."""
+    upsert_batch(out_path)(read_table(spark, path, keys), 0)
     return spark.read.parquet(out_path).drop(BATCH_COL)
 
 

@@ -133,3 +133,20 @@ def test_late_queries_parse_once(spark):
     for name in ("late_filtered_skip_rate", "event_time_resolved"):
         plan = queries.registry()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
         assert "from_json" not in plan.optimizedPlan().toString()
+
+
+def test_upsert_tables_keep_a_bounded_history(spark, tmp_path):
+    from playlog.streaming.sinks import batches, read_table, upsert_batch
+
+    path, want = f"{tmp_path}/t", {}
+    write = upsert_batch(path, ["k"], every=4)
+    for i in range(31):
+        rows = [(i % 7, i), (100 + i, -i)] if i % 5 else []
+        want.update(rows)
+        write(spark.createDataFrame(rows, "k int, v int").coalesce(1), i)
+        if i in (8, 20):  # a replayed batch changes nothing
+            write(spark.createDataFrame(rows, "k int, v int").coalesce(1), i)
+        ids, _ = batches(spark, path)
+        assert len(ids) <= 9
+    got = {r["k"]: r["v"] for r in read_table(spark, path, ["k"]).collect()}
+    assert got == want
