@@ -163,9 +163,22 @@ def _late_cte(name: str, src: str, where: str) -> str:
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time FROM {src} WHERE {where})"""
 
 
-def _skip_rate_sql(late_grace: str | None = None, flops_only: bool = False) -> str:
+def _watermark_cte(name: str, src: str, where: str, batches: int) -> str:
+    """`stream_time`: the latest event of the micro-batches up to two before a row's own."""
+    return f"""
+w0 AS (SELECT *, "offset" // 2 * {batches} // (SELECT max("offset" // 2) + 1 FROM ve) AS mb
+    FROM {src} WHERE {where}),
+w1 AS (SELECT mb, max(event_time) AS latest FROM w0 GROUP BY mb),
+w2 AS (SELECT a.mb, coalesce(max(b.latest), TIMESTAMP '1970-01-01') AS stream_time
+    FROM w1 a LEFT JOIN w1 b ON b.mb <= a.mb - 2 GROUP BY a.mb),
+{name} AS (SELECT w0.*, w2.stream_time FROM w0 JOIN w2 USING (mb))"""
+
+
+def _skip_rate_sql(late_grace: str | None = None, flops_only: bool = False,
+                   batches: int | None = None) -> str:
     where = "event_type IN ('SKIP', 'COMPLETE')"
     base = _with(fixture_ctes(), validation_ctes(),
+                 _watermark_cte("sr0", "ve", where, batches)) if batches else _with(fixture_ctes(), validation_ctes(),
                  _late_cte("sr0", "ve", where) if late_grace else
                  f"\nsr0 AS (SELECT * FROM ve WHERE {where})")
     late = (f"WHERE ws + INTERVAL 10 MINUTE > stream_time - INTERVAL {late_grace}"
@@ -271,6 +284,7 @@ SELECT count(*) AS messages, count(*) FILTER (WHERE reason IS NULL) AS valid,
         "event_time_resolved": _event_time_resolved_sql(),
         "skip_rate": _skip_rate_sql(),
         "flops": _skip_rate_sql(flops_only=True),
+        "stream_skip_rate_batches": _skip_rate_sql(late_grace="30 MINUTE", batches=6),
         "late_filtered_skip_rate": _skip_rate_sql(late_grace="1 HOUR"),
         "catalog_latest": f"{cat}\nSELECT * FROM cur",
         "catalog_rejected": f"""{cat}

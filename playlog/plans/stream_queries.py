@@ -10,6 +10,7 @@ several micro-batches are covered by tests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playlog.session import prepare, scratch_path
 from playlog.sources import fixtures
@@ -59,7 +60,49 @@ def stream_catalog(spark, sf_dir):
     return jobs.current_catalog(spark, paths)
 
 
+# ---- several micro-batches -----------------------------------------------------------
+BATCHES = 6
+FILES_PER_BATCH = 4
+BATCH_GRACE = "30 minutes"
+
+
+def _valid_in_batches(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The valid events as a stream of BATCHES micro-batches in ingestion order: written in
+    that order, FILES_PER_BATCH files each, and read back that many at a time."""
+    from playlog.plans.queries import valid_once
+
+    v = valid_once(spark, sf_dir).withColumn("_seq", F.expr("`offset` DIV 2"))
+    end = v.agg(F.max("_seq") + 1).first()[0]
+    path = scratch_path(spark, name, "batches")
+    for b in range(BATCHES):
+        (v.where(F.expr(f"_seq * {BATCHES} DIV {end} = {b}")).drop("_seq")
+         .repartition(FILES_PER_BATCH).write.mode("append").parquet(path))
+    return (spark.readStream.schema(v.drop("_seq").schema)
+            .option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path))
+
+
+def _batched(spark: SparkSession, sf_dir: str, name: str, start, kind: str, **options) -> DataFrame:
+    prepare(spark)
+    paths = jobs.Paths(scratch_path(spark, name))
+    trigger = jobs.Trigger(state_partitions=2 * spark.sparkContext.defaultParallelism)
+    start(_valid_in_batches(spark, sf_dir, name), paths, trigger, **options).awaitTermination()
+    return jobs.output(spark, paths, kind)
+
+
+def stream_skip_rate_batches(spark, sf_dir):
+    """Rows beyond the watermark are dropped: that of two micro-batches before."""
+    return _batched(spark, sf_dir, "stream_skip_rate_batches", jobs.start_skip_rate, "skip_rate",
+                    grace=BATCH_GRACE)
+
+
+def stream_royalties_batches(spark, sf_dir):
+    """Duplicates are recognised across micro-batches."""
+    return _batched(spark, sf_dir, "stream_royalties_batches", jobs.start_royalties, "royalties")
+
+
 def registry():
-    return {"stream_skip_rate": stream_skip_rate, "stream_top": stream_top,
+    return {"stream_skip_rate_batches": stream_skip_rate_batches,
+            "stream_royalties_batches": stream_royalties_batches,
+            "stream_skip_rate": stream_skip_rate, "stream_top": stream_top,
             "stream_royalties": stream_royalties, "stream_fraud": stream_fraud,
             "stream_dlq": stream_dlq, "stream_catalog": stream_catalog}
