@@ -37,7 +37,7 @@ BANDS, ROWS, BITS = 24, 4, 4
 HASHES = 512
 MARGIN = 0.09
 #: Classes of a bucket that are compared at once.
-BLOCK = 2048
+BLOCK = 1024
 SALTS = 16
 _U = np.uint64
 
@@ -135,42 +135,81 @@ def near(pairs: DataFrame, classes: DataFrame, threshold: int, bits: int, hashes
     ).where(equal >= least_equal(threshold / 100, hashes, bits)).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, lower: bool, threshold: int,
-              text: str) -> DataFrame:
-    """The pairs (a, b) of text hashes whose full shingle sets reach the threshold."""
-    need = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    texts = staged(docs.select(F.xxhash64(text_of(text)).alias("h"), text_of(text).alias("text"))
-                   .join(need, "h", "left_semi").dropDuplicates(["h"]), "near-dedup-texts")
+def texts_of(docs: DataFrame, need: DataFrame, text: str) -> DataFrame:
+    """h, text: one row for each text hash in `need`."""
+    return docs.select(F.xxhash64(text_of(text)).alias("h"), text_of(text).alias("text")).join(
+        need, "h", "left_semi").dropDuplicates(["h"])
+
+
+def _sets_by_hash(hashes: list[int], texts: pa.ChunkedArray | pa.Array, n: int, lower: bool,
+                  own: dict) -> None:
+    """Adds the shingle set of each hash that `own` has not yet."""
+    raw = {}
+    for h, t in zip(hashes, texts.cast(pa.binary()), strict=True):
+        if h not in own and h not in raw:
+            raw[h] = t.as_buffer().to_pybytes()
+    names = iter(raw)
+    for group in shingles.groups(raw.values()):
+        own |= zip([next(names) for _ in group], shingles.sets(group, n, lower), strict=True)
+
+
+def _similar(p: np.ndarray, q: np.ndarray, threshold: int) -> bool:
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= threshold * (len(p) + len(q) - both)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, threshold: int) -> DataFrame:
+    """The pairs (a, b) of text hashes whose full shingle sets reach the threshold; each pair
+    carries its texts."""
     side = lambda c: texts.select(F.col("h").alias(c), F.col("text").alias(f"text_{c}"))
 
     def check(batches):
         for b in batches:
-            names = {}
-            for c in ("a", "b"):
-                texts = b.column(f"text_{c}").cast(pa.binary())
-                for h, t in zip(b.column(c).to_pylist(), texts, strict=True):
-                    if h not in names:
-                        names[h] = t.as_buffer().to_pybytes()
             own = {}
-            hs = iter(names)
-            for group in shingles.groups(names.values()):
-                own |= zip([next(hs) for _ in group], shingles.sets(group, n, lower), strict=True)
-            keep = []
-            for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
-                p, q = own[x], own[y]
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= threshold * (len(p) + len(q) - both))
+            x, y = b.column("a").to_pylist(), b.column("b").to_pylist()
+            _sets_by_hash(x, b.column("text_a"), n, lower, own)
+            _sets_by_hash(y, b.column("text_b"), n, lower, own)
+            keep = [_similar(own[p], own[q], threshold) for p, q in zip(x, y, strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select(
         "a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def confirmed_in_blocks(pairs: DataFrame, texts: DataFrame, n: int, lower: bool,
+                        threshold: int) -> DataFrame:
+    """Links among `across`' pairs that join what was apart.  A block's texts come once, not with
+    each pair, and a pair whose ends the block has joined already is skipped."""
+    block = ["bucket", "i", "j"]
+    named = [F.col(c).alias(f"of_{c}") for c in block]
+    need = pairs.select(*named, F.explode(F.array("a", "b")).alias("h")).distinct()
+
+    def check(_, found, known):
+        own, name, links = {}, {}, []
+        _sets_by_hash(known["h"].to_pylist(), known["text"], n, lower, own)
+
+        def root(x):
+            while name.setdefault(x, x) != x:
+                name[x] = x = name[name[x]]
+            return x
+
+        for x, y in zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True):
+            if root(x) != root(y) and _similar(own[x], own[y], threshold):
+                name[root(y)] = root(x)
+                links.append((x, y))
+        return pa.table({c: pa.array([k[i] for k in links], pa.int64())
+                         for i, c in enumerate(("a", "b"))})
+
+    return pairs.groupBy(*block).cogroup(
+        need.join(texts, "h").groupBy(*(f"of_{c}" for c in block))).applyInArrow(check, "a long, b long")
+
+
 def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: int) -> DataFrame:
     """Pairs of classes of different components that share a bucket and may be linked.
 
-    `members` has bucket, h, label, n_shingles, bits.  Buckets of one component need nothing;
-    others are compared block by block, whose rows stand side by side in one task."""
+    `members` has bucket, band, h, label, n_shingles, bits, bands.  Buckets of one component
+    need nothing; others are compared block by block, whose rows stand side by side in one
+    task.  A pair comes from the first band alone whose bucket it shares."""
     met = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"),
                                         F.max("label").alias("high")).where("low <> high").select(
         "bucket", F.expr(f"cast(ceil(n / {block}) AS int)").alias("blocks"))
@@ -178,7 +217,8 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
         "i", F.expr("cast(pmod(xxhash64(h, 1), blocks) AS int)")
     ).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
-        (F.col("i") <= F.col("j")).alias("left"), "h", "label", "n_shingles", "bits")
+        (F.col("i") <= F.col("j")).alias("left"), "h", "label", "n_shingles", "bits",
+        F.slice("bands", F.lit(1), F.col("band")).alias("earlier"))
     need = least_equal(threshold / 100, hashes, bits)
     lane = np.array([_lanes(bits)], np.int64).view(_U)[0]
     padded = -(-hashes // (64 // bits)) * (64 // bits) - hashes
@@ -188,6 +228,7 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
         h, label = t["h"].to_numpy(), t["label"].to_numpy()
         size, left = t["n_shingles"].to_numpy(), t["left"].to_numpy(zero_copy_only=False)
         w = np.array(t["bits"].to_pylist(), np.int64).view(_U)
+        earlier = np.array(t["earlier"].to_pylist(), np.int64).reshape(len(h), -1)
         same = t["i"][0].as_py() == t["j"][0].as_py()
         y = np.arange(len(h)) if same else np.flatnonzero(~left)
         out = []
@@ -202,6 +243,7 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
                 100 * np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x]))
             if same:
                 ok &= y > x
+            ok[ok] = ~(earlier[y[ok]] == earlier[x]).any(axis=1)
             out += [(min(h[x], k), max(h[x], k)) for k in h[y[ok]].tolist()]
         return out
 
@@ -225,11 +267,14 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
         found = compare(t)
         if found:
             a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                                             ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t[c][0].as_py()] * len(found), k) for c, k in (
+                    ("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()))]
+                + [pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                ["bucket", "i", "j", "a", "b"])
 
     return dealt.repartition("bucket", "i", "j").sortWithinPartitions(
-        "bucket", "i", "j").mapInArrow(pairs, "a long, b long").distinct()
+        "bucket", "i", "j").mapInArrow(pairs, "bucket long, i int, j int, a long, b long")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool = True,
@@ -248,7 +293,7 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
     classes = staged(full.groupBy("set", "n_shingles").agg(
         F.min(F.struct("h", "bits", "bands")).alias("c")).select(
         "c.h", "n_shingles", "c.bits", "c.bands"), "near-dedup-classes")
-    alone = classes.select("h", F.explode("bands").alias("bucket"))
+    alone = classes.select("h", F.posexplode("bands").alias("band", "bucket"))
     shared = alone.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(alone.join(shared, "bucket"), "near-dedup-buckets")
     central = members.groupBy("h").agg(F.sum("n").alias("central"))
@@ -257,16 +302,18 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
     stars = members.join(hubs, "bucket").where("h <> hub").select(
         F.least("h", "hub").alias("a"), F.greatest("h", "hub").alias("b")).distinct()
     first = staged(near(stars, classes, threshold, bits, hashes), "near-dedup-pairs")
-    links = staged(confirmed(first, docs, words, lower, threshold, text), "near-dedup-links")
+    texts = staged(texts_of(docs, members.select("h").distinct(), text), "near-dedup-texts")
+    links = staged(confirmed(first, texts, words, lower, threshold), "near-dedup-links")
     labels = components(links)
 
-    of_label = classes.select("h", "n_shingles", "bits").join(
+    of_label = classes.select("h", "n_shingles", "bits", "bands").join(
         labels.withColumnRenamed("v", "h"), "h", "left").withColumn(
         "label", F.coalesce("label", "h"))
     second = staged(across(members.drop("n").join(of_label, "h"), threshold, bits, hashes,
                            block), "near-dedup-pairs")
     if not second.isEmpty():
-        more = staged(confirmed(second, docs, words, lower, threshold, text), "near-dedup-links")
+        more = staged(confirmed_in_blocks(second, texts, words, lower, threshold),
+                      "near-dedup-links")
         if not more.isEmpty():
             labels = components(links.union(more))
 
