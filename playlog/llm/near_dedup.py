@@ -62,7 +62,8 @@ def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     key = np.zeros((len(minima), bands), _U)
     for j in range(rows):
         key = key * _U(0xFF51AFD7ED558CCD) + minima[:, j::rows][:, :bands]
-    return shingles.mix(key ^ (np.arange(bands, dtype=_U) << _U(56))).view(np.int64)
+    #: the band's number in the lowest byte: keys of two bands never meet
+    return ((shingles.mix(key) << _U(8)) | np.arange(bands, dtype=_U)).view(np.int64)
 
 
 def low_bits(minima: np.ndarray, bits: int) -> np.ndarray:
@@ -282,8 +283,8 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
                hashes: int = HASHES, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """Per row of `docs`: key, n_shingles, component_id (smallest key of its component) and
     kept (the row that names its component)."""
-    if not bands * rows <= hashes:
-        raise ValueError("the bands need bands * rows hashes")
+    if not (bands * rows <= hashes and bands <= 256):
+        raise ValueError("there are at most 256 bands, and they need bands * rows hashes")
     sketch = staged(sketches(docs, words, lower, bands, rows, hashes, bits, key, text),
                     "near-dedup")
     #: a class is named by the smallest text hash among its members
