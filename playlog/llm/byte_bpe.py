@@ -29,6 +29,8 @@ from playlog.llm.wordbpe import Words
 
 CHUNK = 32_768
 OVERLAP = 1_024
+#: Rows that a worker turns into ids and bytes at once.
+ROWS = 256
 
 
 class ByteBpe:
@@ -73,6 +75,17 @@ def raw_bytes(path: str) -> dict[int, bytes]:
     return dict(enumerate_ranks(path))
 
 
+def decoded(ids: bytes, of: dict[int, bytes]) -> bytes:
+    return b"".join(map(of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def slices(batches):
+    """The batches in parts of ROWS rows."""
+    for b in batches:
+        for at in range(0, len(b), ROWS):
+            yield b.slice(at, ROWS)
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
@@ -111,20 +124,31 @@ def stitches(chunks: DataFrame, ranks: str, pattern: str, chunk: int, overlap: i
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text",
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Per row of `docs`: its key and `ids` (binary, little-endian unsigned 32-bit)."""
+           chunk: int = CHUNK, overlap: int = OVERLAP, round_trip: bool = False) -> DataFrame:
+    """Per row of `docs`: its key and `ids` (binary, little-endian unsigned 32-bit); with
+    `round_trip` also `raw`, the bytes that the ids decode to, made by the same worker."""
     if not 4 <= overlap <= chunk:
         raise ValueError("overlap must lie between 4 and chunk")
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), text_of(text).alias("text"))
 
+    more = ", raw binary" if round_trip else ""
+
+    def columns(ids: list[bytes]) -> dict[str, pa.Array]:
+        out = {"ids": pa.array(ids, pa.binary())}
+        if round_trip:
+            of = raw_bytes(ranks)
+            out["raw"] = pa.array([decoded(x, of) for x in ids], pa.binary())
+        return out
+
     def whole(batches):
         bpe = load(ranks, pattern)
-        for b in batches:
-            ids = pa.array([bpe.encode(t.as_py()) for t in b.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), ids], ["key", "ids"])
+        for b in slices(batches):
+            yield pa.RecordBatch.from_pydict(
+                {"key": b.column(0)} | columns([bpe.encode(t.as_py()) for t in b.column(1)]))
 
-    short = rows.where(F.length("text") <= chunk).mapInArrow(whole, f"key {kind}, ids binary")
+    short = rows.where(F.length("text") <= chunk).mapInArrow(
+        whole, f"key {kind}, ids binary{more}")
 
     #: long texts, each different one once
     named = rows.where(F.length("text") > chunk).withColumn("h", F.expr("unhex(sha2(text, 256))"))
@@ -145,7 +169,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
 
     def pieces(batches):
         bpe = load(ranks, pattern)
-        for b in batches:
+        for b in slices(batches):
             ids = pa.array([bpe.encode(w, 0, n) for n, w in zip(
                 b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids], ["h", "i", "ids"])
@@ -153,12 +177,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
     def joined(k, t):  # one text's regions
         order = np.argsort(t.column("i").to_numpy())
         ids = b"".join(t.column("ids")[int(j)].as_py() for j in order)
-        return pa.table({"h": pa.array([k[0].as_py()], pa.binary()),
-                         "ids": pa.array([ids], pa.binary())})
+        return pa.table({"h": pa.array([k[0].as_py()], pa.binary())} | columns([ids]))
 
     encoded = regions.mapInArrow(pieces, "h binary, i int, ids binary").groupBy("h").applyInArrow(
-        joined, "h binary, ids binary")
-    long = named.select("key", "h").join(encoded, "h").select("key", "ids")
+        joined, f"h binary, ids binary{more}")
+    long = named.select("key", "h").join(encoded, "h").drop("h")
     return short.unionByName(long).withColumnRenamed("key", key)
 
 
@@ -167,10 +190,9 @@ def decode(encoded: DataFrame, ranks: str, key: str = "doc_id") -> DataFrame:
     kind = encoded.schema[key].dataType.simpleString()
 
     def raw(batches):
-        of = raw_bytes(ranks).__getitem__
-        for b in batches:
-            out = pa.array([b"".join(map(of, np.frombuffer(x.as_buffer(), "<u4").tolist()))
-                            for x in b.column(1)], pa.binary())
+        of = raw_bytes(ranks)
+        for b in slices(batches):
+            out = pa.array([decoded(x.as_py(), of) for x in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), out],
                                              ["key", "ids", "raw"])
 

@@ -94,8 +94,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), byte_bpe.pattern()
-    ids = byte_bpe.encode(documents(spark, sf_dir), ranks, pattern)
-    return byte_bpe.decode(ids, ranks).select(
+    return byte_bpe.encode(documents(spark, sf_dir), ranks, pattern, round_trip=True).select(
         "doc_id", F.expr("length(ids) DIV 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
 
