@@ -24,13 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlog.llm.common import text_of
+from playlog.llm.common import slices, text_of
 from playlog.llm.wordbpe import Words
 
 CHUNK = 32_768
 OVERLAP = 1_024
-#: Rows that a worker turns into ids and bytes at once.
-ROWS = 256
 
 
 class ByteBpe:
@@ -79,13 +77,6 @@ def decoded(ids: bytes, of: dict[int, bytes]) -> bytes:
     return b"".join(map(of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def slices(batches):
-    """The batches in parts of ROWS rows."""
-    for b in batches:
-        for at in range(0, len(b), ROWS):
-            yield b.slice(at, ROWS)
-
-
 @functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)

@@ -38,6 +38,14 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches in parts, so that a worker's lists and results stay small however many
+    rows Spark puts into a batch."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
 def vocabulary(name: str) -> str:
     """Where a public vocabulary file lies, on the driver as on the executors."""
     import public_tokenizers

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog.llm import shingles
-from playlog.llm.common import staged, text_of
+from playlog.llm.common import slices, staged, text_of
 from playlog.llm.components import components
 
 BANDS, ROWS, BITS = 24, 4, 4
@@ -94,7 +94,7 @@ def sketches(docs: DataFrame, n: int, lower: bool, bands: int, rows: int, hashes
     kind = docs.schema[key].dataType.simpleString()
 
     def sketch(batches):
-        for b in batches:
+        for b in slices(batches, 1024):
             texts = (t.as_buffer().to_pybytes() if t.is_valid else b""
                      for t in b.column(2).cast(pa.binary()))
             size, digest, keys, low = [], [], [], []
@@ -165,7 +165,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, threshold
     side = lambda c: texts.select(F.col("h").alias(c), F.col("text").alias(f"text_{c}"))
 
     def check(batches):
-        for b in batches:
+        for b in slices(batches, 1024):
             own = {}
             x, y = b.column("a").to_pylist(), b.column("b").to_pylist()
             _sets_by_hash(x, b.column("text_a"), n, lower, own)

@@ -8,7 +8,8 @@ live-looking credential.  Opaque candidates become spans only if they are live-l
 base spans always stay and carry the class.
 
 The aggregation has partial sums per task; the way back from the digests is salted, so a
-value found in a third of all documents does not meet in one task.
+value found in a third of all documents does not meet in one task.  Nothing is broadcast, as
+the digests grow with the corpus.
 
 Defined results: a null text counts as empty (no spans); repeated rows are searched one by
 one and count as one holder if their key is equal; rows with a null repository or owner count as
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlog.llm.common import staged, text_of
+from playlog.llm.common import slices, staged, text_of
 
 #: Kinds in their order, pattern, value group and least length of that group.
 KINDS = (
@@ -89,7 +90,7 @@ def found(docs: DataFrame, key: str, text: str, repository: str, owner: str) ->
                       ("digest", pa.binary())])
 
     def search(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for t in b.column(4):
                 t = t.as_py()
@@ -127,12 +128,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", repository: s
         f"WHEN '{k[0]}' THEN {i}" for i, k in enumerate(KINDS)) + f" ELSE {len(KINDS)} END")
     judged = single.drop("owner", "repository").withColumn(
         "salt", F.expr(f"cast(pmod(xxhash64(row, start), {SALTS}) AS int)")
-    ).join(counts, ["digest", "salt"]).withColumn(
+    ).join(counts.hint("merge"), ["digest", "salt"]).withColumn(
         "live", (F.col("n_owners") <= owners) & (F.col("n_repositories") <= repositories)
     ).where((F.col("kind") != OPAQUE) | F.col("live")).withColumn("order", order)
     per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", "order", "end", "kind", "n_owners", "n_repositories", "live"))).alias("spans"))
-    return rows.select("row", "key").join(per_row, "row", "left").select(
+    return rows.select("row", "key").join(per_row.hint("merge"), "row", "left").select(
         F.col("key").alias(key), F.expr("coalesce(spans, array())").alias("spans"))
 
 

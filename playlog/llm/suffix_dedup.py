@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlog.llm.common import shards, text_of
+from playlog.llm.common import shards, slices, text_of
 from playlog.llm.shingles import mix
 
 GRAM = 32
@@ -339,7 +339,7 @@ def without_runs(dedup: DataFrame, key: str = "doc_id") -> DataFrame:
     kind = dedup.schema[key].dataType.simpleString()
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             size, gone, spans, kept, texts = [], [], [], [], []
             for t, r in zip(b.column(1), b.column(2), strict=True):
                 raw = t.as_buffer().to_pybytes()

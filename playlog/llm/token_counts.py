@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from playlog.llm import wordbpe
-from playlog.llm.common import text_of
+from playlog.llm.common import slices, text_of
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, key: str = "doc_id",
@@ -24,7 +24,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, key: str =
 
     def count(batches):
         bpe = wordbpe.load(vocabulary)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1)
             n = pa.array([bpe.count(t.as_py()) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(

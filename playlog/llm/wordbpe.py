@@ -17,7 +17,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 #: Words remembered by a worker, and the longest of them; beyond, words are worked out anew.
-MEMORY = 400_000
+MEMORY = 300_000
 LONGEST = 64
 #: Printable ASCII and Latin letters, but for the one whose lower case is two characters.
 _PLAIN = re.compile("[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
