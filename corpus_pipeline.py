@@ -3,7 +3,8 @@ kept, and its decisions take effect.
 
 1. quality_rules   documents that break a rule of the threshold table go
 2. near_dedup      of each group of near copies (five-word shingles, similarity 0.8) the
-                   document with the smallest id stays, once
+                   document with the smallest id stays, once; of versions with that id the
+                   one with the smallest digest
 3. suffix_dedup    every passage of 100 bytes or more that also starts earlier is cut
 4. secret_scan     owner-specific, live-looking credentials are replaced by a mark; base
                    spans that are widely copied examples stay
@@ -11,7 +12,14 @@ kept, and its decisions take effect.
 
 Stages 1 to 4 return the columns of `documents` (doc_id, text, lang, source, n_chars);
 n_chars is counted anew where the text changes.  A document left empty stays, with an empty
-text.  Each stage's result is written as Parquet and read again, so a lost executor costs
+text.
+
+A document is an id and a text.  Rows that share an id, or have none, but differ in their
+texts are judged one by one and each kept one stays; a null id comes after all others, so a
+row without one stays only if no near copy has an id.  Rows equal in id and text are one
+document, with the smallest (lang, source, n_chars) among them.
+
+Each stage's result is written as Parquet and read again, so a lost executor costs
 at most one stage.
 """
 
@@ -27,11 +35,11 @@ from playlog.session import scratch_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _changed(docs: DataFrame, new: DataFrame) -> DataFrame:
-    """`docs` (one row per id) with the texts of `new` (doc_id, text)."""
-    return docs.drop("text", "n_chars").join(
-        new.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))
-    ).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+def _named(docs: DataFrame) -> DataFrame:
+    """`docs` with `name`, a digest of id and text that is never null."""
+    return docs.select(*COLUMNS, F.md5(F.encode(F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
+        F.coalesce("text", F.lit(""))), "UTF-8")).alias("name"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,21 +47,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.near_dedup(docs).where("coalesce(kept, true)").select(
-        F.col("doc_id").alias("id")).distinct()
-    return docs.select(*COLUMNS).dropDuplicates(["doc_id"]).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("id"))).select(*COLUMNS)
+    named = _named(docs)
+    #: the verdict is on id and text; the struct's order names a component by its smallest id
+    row = F.struct(F.col("doc_id").isNull().alias("none"),
+                   F.coalesce("doc_id", F.lit(0)).alias("id"), "name")
+    kept = near_dedup.near_dedup(named.select(row.alias("row"), "text"), key="row").where(
+        "kept").select("row.name").distinct()
+    once = named.groupBy("name").agg(F.min(F.struct(
+        "doc_id", "lang", "source", "n_chars", "text")).alias("d"))
+    return once.join(kept, "name", "left_semi").select("d.*").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.without_runs(suffix_dedup.suffix_dedup(docs))
-    return _changed(docs, cut.select("doc_id", "text"))
+    found = suffix_dedup.suffix_dedup(docs, carry=("lang", "source"))
+    return suffix_dedup.without_runs(found).select("doc_id", "text", "rest.*").withColumn(
+        "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    spans = secret_scan.scan(docs).select(F.col("doc_id").alias("id"), "spans")
-    found = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("id")))
-    return found.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans"))).withColumn(
+    named = _named(docs)
+    #: rows of one name have the same spans
+    spans = secret_scan.scan(named, key="name", repository="doc_id").select(
+        "name", "spans").dropDuplicates(["name"])
+    return named.join(spans, "name").withColumn(
+        "text", secret_scan.redact(F.col("text"), F.col("spans"))).withColumn(
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -152,19 +152,21 @@ _AROUND = ("shard int, key binary, doc binary, start binary, count binary, size
 _RUNS = "shard int, doc binary, start binary, count binary"
 
 
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100
-                 ) -> DataFrame:
+def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
     """`docs`' key and text (as bytes), with `runs`: binary pairs (start, end) of signed 64-bit
-    integers, the maximal removed runs of the text's UTF-8 bytes."""
+    integers, the maximal removed runs of the text's UTF-8 bytes; and, if columns to `carry`
+    are named, `rest`, a struct of theirs."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} at least")
     n = shards(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise ValueError("documents are ordered by an integer key")
+    rest = [F.struct(*(docs[c] for c in carry)).alias("rest")] if carry else []
     #: h names a row's key and text; rows in which both are equal share one fate
     rows = docs.select(
-        docs[key].alias("key"), F.encode(text_of(text), "UTF-8").alias("text")
+        docs[key].alias("key"), F.encode(text_of(text), "UTF-8").alias("text"), *rest
     ).withColumn("h", F.xxhash64("key", "text")).withColumn(
         "shard", F.expr(f"cast(pmod(h, {n}) AS int)"))
 
@@ -322,21 +324,26 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 by[int(doc[a])] = np.stack([s[new], reach[last]], axis=1).astype("<i8").tobytes()
         return pa.table({
             "key": docs["key"], "text": docs["text"],
-            "runs": pa.array([by.get(h, b"") for h in docs["h"].to_pylist()], pa.binary())})
+            "runs": pa.array([by.get(h, b"") for h in docs["h"].to_pylist()], pa.binary()),
+            **({"rest": docs["rest"]} if carry else {})})
 
     found = rows.select("h", "text").mapInArrow(find, _ANCHORS)
     marks = found.groupBy("shard").applyInArrow(repeated, _REPEATED)
-    grouped = rows.select("key", "text", "h", "shard").groupBy("shard")
+    carried = f", rest {rows.schema['rest'].dataType.simpleString()}" if carry else ""
+    grouped = rows.select("key", "text", "h", "shard", *rows.columns[2:-2]).groupBy("shard")
     near = grouped.cogroup(marks.groupBy("shard")).applyInArrow(around, _AROUND)
     runs = near.groupBy("shard").applyInArrow(scan, _RUNS)
     return grouped.cogroup(runs.groupBy("shard")).applyInArrow(
-        remove, f"key {kind}, text binary, runs binary").withColumnRenamed("key", key)
+        remove, f"key {kind}, text binary, runs binary{carried}").withColumnRenamed("key", key)
 
 
 def without_runs(dedup: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per row: key, n_bytes, n_removed, n_spans, `kept` (the remaining bytes) and `text`: the
-    remaining text, in which a character goes only if all its bytes do."""
+    remaining text, in which a character goes only if all its bytes do; and `rest`, if `dedup`
+    has it."""
     kind = dedup.schema[key].dataType.simpleString()
+    rest = [c for c in dedup.columns if c == "rest"]
+    carried = "".join(f", {c} {dedup.schema[c].dataType.simpleString()}" for c in rest)
 
     def cut(batches):
         for b in slices(batches):
@@ -352,11 +359,12 @@ def without_runs(dedup: DataFrame, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(spans, pa.int64()), pa.array(kept, pa.binary()),
-                 pa.array(texts, pa.string())],
-                ["key", "n_bytes", "n_removed", "n_spans", "kept", "text"])
+                 pa.array(texts, pa.string()), *b.columns[3:]],
+                ["key", "n_bytes", "n_removed", "n_spans", "kept", "text", *rest])
 
-    return dedup.select(F.col(key).alias("key"), "text", "runs").mapInArrow(
-        cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary, text string"
+    return dedup.select(F.col(key).alias("key"), "text", "runs", *rest).mapInArrow(
+        cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary, "
+             f"text string{carried}"
     ).withColumnRenamed("key", key)
 
 

@@ -118,3 +118,41 @@ def test_brute_force_agrees_with_itself():
     some = [(i, t) for i, t, *_ in rows() if t and len(t) > 300][:6]
     for i, n, gone, _, kept in brute_spans(some, 100):
         assert n - gone == len(kept) and any(i == j for j, _ in some)
+
+
+def test_rows_of_one_id_or_none_are_judged_one_by_one(spark):
+    rng = random.Random(3)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    t = [say(80) for _ in range(10)]
+    passage = say(40)
+    t[0] += ' token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"'
+    t[9], t[5] = f"{t[9]} {passage} {say(9)}", f"{t[5]} {passage} {say(9)}"
+    rows = [(None, x, "en", f"s{k}") for k, x in enumerate(t[:5])]
+    rows += [(7, t[5], "en", "a"), (7, t[6], "fr", "b"), (7, t[9] + " copy", "de", "c"),
+             (3, t[9], "en", "d"), (None, t[9] + " more", "en", "e"), (None, t[8], "en", "z"),
+             (None, t[8] + " twin", "en", "y"), (9, t[7], "en", "g"), (9, t[7], "en", "f"), rows[0]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], schema)
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[3], r[1]))
+
+    kept = corpus_pipeline.near_copies(spark, docs, "").cache()
+    got = order([tuple(r)[:4] for r in kept.collect()])
+    twin = next(r for r in got if r[3] in "yz")
+    assert twin in rows
+    want = order([*rows[:5], (7, t[5], "en", "a"), (7, t[6], "fr", "b"), (3, t[9], "en", "d"),
+                  twin, (9, t[7], "en", "f")])
+    assert got == want
+
+    cut = corpus_pipeline.repeated_passages(spark, kept, "").cache()
+    after = order([tuple(r) for r in cut.collect()])
+    assert [r[0::2] for r in after] == [(i, lang, len(text)) for (i, _, lang, _), (_, text, *_)
+                                        in zip(want, after, strict=True)]
+    for (i, text, _, s), r in zip(want, after, strict=True):
+        assert r[3] == s and (r[1] == text) == ((i, s) != (7, "a")) and passage not in (
+            r[1] if i == 7 else "")
+
+    clean = order([tuple(r)[:4] for r in corpus_pipeline.secrets(spark, cut, "").collect()])
+    for r, (i, text, lang, s, _) in zip(clean, after, strict=True):
+        assert (r[0], *r[2:]) == (i, lang, s)
+        assert (r[1] == text) == (s != "s0") and ("[secret]" in r[1]) == (s == "s0")
+    assert corpus_pipeline.secrets(spark, cut.union(cut), "").count() == 2 * len(want)
