@@ -67,7 +67,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = _named(docs)
     #: rows of one name have the same spans
-    spans = secret_scan.scan(named, key="name", repository="doc_id").select(
+    spans = secret_scan.scan(named, key="name").select(
         "name", "spans").dropDuplicates(["name"])
     return named.join(spans, "name").withColumn(
         "text", secret_scan.redact(F.col("text"), F.col("spans"))).withColumn(

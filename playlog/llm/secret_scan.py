@@ -2,10 +2,12 @@
 
 Every whole text is searched for the base kinds and for opaque candidates (long random-
 looking strings that no base kind covers).  Each found value is reduced to a digest, and
-the digests are counted over the corpus by distinct repositories and distinct owners.  A
-value that many owners or many repositories hold is a widely copied example; one held by few is a
-live-looking credential.  Opaque candidates become spans only if they are live-looking;
-base spans always stay and carry the class.
+the digests are counted over the corpus by distinct owners and, if the table has a column of
+repositories, by distinct repositories.  A value that many owners, or several owners in many
+repositories, hold is a widely copied example; one held by few is a live-looking credential.  A
+value of one owner is live however many documents or repositories hold it, and a document is no
+repository: copies of a document say nothing about who holds a value.  Opaque candidates become
+spans only if they are live-looking; base spans always stay and carry the class.
 
 The aggregation has partial sums per task; the way back from the digests is salted, so a
 value found in a third of all documents does not meet in one task.  Nothing is broadcast, as
@@ -41,7 +43,8 @@ _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
 OPAQUE = "opaque"
 _OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,128}(?![A-Za-z0-9+/_-])", re.A)
 ENTROPY = 3.5
-#: A value with more owners or more repositories than these is a widely copied example.
+#: A value with more owners than this, or of several owners with more repositories than this, is
+#: a widely copied example.
 OWNERS = 2
 REPOSITORIES = 50
 SALTS = 16
@@ -83,9 +86,12 @@ def candidates(text: str, base: list[tuple]) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def found(docs: DataFrame, key: str, text: str, repository: str, owner: str) -> DataFrame:
-    """row (unique), key, repository, owner and the array of spans of each document."""
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in (key, repository, owner)}
+def found(docs: DataFrame, key: str, text: str, repository: str | None, owner: str) -> DataFrame:
+    """row (unique), key, repository (null if no column), owner and the array of spans of each
+    document."""
+    held_in = F.lit(None).cast("long") if repository is None else docs[repository]
+    kinds = {c: "bigint" if c is None else docs.schema[c].dataType.simpleString()
+             for c in (key, repository, owner)}
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                       ("digest", pa.binary())])
 
@@ -103,17 +109,18 @@ def found(docs: DataFrame, key: str, text: str, repository: str, owner: str) ->
                 ["row", "key", "repository", "owner", "found"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("key"),
-                       docs[repository].alias("repository"), docs[owner].alias("owner"),
+                       held_in.alias("repository"), docs[owner].alias("owner"),
                        text_of(text).alias("text"))
     return rows.mapInArrow(search, f"row long, key {kinds[key]}, repository {kinds[repository]}, "
                                    f"owner {kinds[owner]}, found array<{_SPAN}>")
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", repository: str = "doc_id",
-         owner: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES
-         ) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
+         repository: str | None = None, owner: str = "source", owners: int = OWNERS,
+         repositories: int = REPOSITORIES) -> DataFrame:
     """Per row of `docs`: key and `spans`, an array of (start, kind, end, n_owners,
-    n_repositories, live) by start and kind; base spans all, opaque ones if live."""
+    n_repositories, live) by start and kind; base spans all, opaque ones if live.  Without a
+    column of repositories n_repositories is null and the owners alone decide."""
     rows = staged(found(docs, key, text, repository, owner), "secret-scan")
     single = rows.where(F.size("found") > 0).select(
         "row", "repository", "owner", F.inline("found"))
@@ -121,16 +128,21 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", repository: s
     held = lambda c, n: single.select(
         "digest", F.coalesce(F.xxhash64(c), F.lit(0)).alias("h")
     ).distinct().groupBy("digest").agg(F.count("*").alias(n))
-    by_owner, by_repository = held("owner", "n_owners"), held("repository", "n_repositories")
-    counts = by_owner.join(by_repository, "digest").withColumn(
+    counts = held("owner", "n_owners")
+    few = F.col("n_owners") <= owners
+    if repository is None:
+        counts = counts.withColumn("n_repositories", F.lit(None).cast("long"))
+    else:
+        counts = counts.join(held("repository", "n_repositories"), "digest")
+        few &= (F.col("n_owners") == 1) | (F.col("n_repositories") <= repositories)
+    counts = counts.withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     order = F.expr("CASE kind " + " ".join(
         f"WHEN '{k[0]}' THEN {i}" for i, k in enumerate(KINDS)) + f" ELSE {len(KINDS)} END")
     judged = single.drop("owner", "repository").withColumn(
         "salt", F.expr(f"cast(pmod(xxhash64(row, start), {SALTS}) AS int)")
     ).join(counts.hint("merge"), ["digest", "salt"]).withColumn(
-        "live", (F.col("n_owners") <= owners) & (F.col("n_repositories") <= repositories)
-    ).where((F.col("kind") != OPAQUE) | F.col("live")).withColumn("order", order)
+        "live", few).where((F.col("kind") != OPAQUE) | F.col("live")).withColumn("order", order)
     per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", "order", "end", "kind", "n_owners", "n_repositories", "live"))).alias("spans"))
     return rows.select("row", "key").join(per_row.hint("merge"), "row", "left").select(
