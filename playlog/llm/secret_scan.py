@@ -1,7 +1,7 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Every whole text is searched for the base kinds and for opaque candidates (long random-
-looking strings that no base kind covers).  Each found value is reduced to a digest, and
+looking strings of 24 characters or more, of any length, that no base kind covers).  Each found value is reduced to a digest, and
 the digests are counted over the corpus by distinct owners and, if the table has a column of
 repositories, by distinct repositories.  A value that many owners, or several owners in many
 repositories, hold is a widely copied example; one held by few is a live-looking credential.  A
@@ -41,7 +41,7 @@ KINDS = (
 _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
 OPAQUE = "opaque"
-_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,128}(?![A-Za-z0-9+/_-])", re.A)
+_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}(?![A-Za-z0-9+/_-])", re.A)
 ENTROPY = 3.5
 #: A value with more owners than this, or of several owners with more repositories than this, is
 #: a widely copied example.

@@ -439,6 +439,16 @@ def test_one_owner_is_live_however_many_documents(spark):
     assert found[3, "access", False] == 9 and found[4, "access", False] == 100
 
 
+def test_opaque_values_have_no_greatest_length(spark):
+    rng = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    rows = [(n, f"key {''.join(rng.choice(alphabet) for _ in range(n))} end")
+            for n in (23, 24, 128, 129, 400, 100_000)]
+    out = secret_scan.scan(frame(spark, rows)).collect()
+    assert {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in out} == {
+        n: [("opaque", 4, 4 + n)] * (n > 23) for n, _ in rows}
+
+
 def test_redaction(spark):
     rows = [(1, "a token=abcdefgh, b"), (2, None), (3, "clean é")]
     df = frame(spark, rows).select("doc_id", "text").join(
