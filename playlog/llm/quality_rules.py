@@ -56,8 +56,8 @@ def measures(text: Column) -> list[dict[str, Column]]:
     c = F.col
     stops = list(dict.fromkeys(STOP_WORDS.split()))
     size = lambda a: F.size(a).cast("long")
-    #: each three-word window as one long, its hash above its place, sorted: equal windows
-    #: lie side by side (64 less log2(n_words) bits keep the windows of one text apart)
+    #: each three-word window as one long, part of its hash above its place, sorted: equal windows
+    #: lie side by side, and with them some that only share that part of the hash
     windows = F.expr(
         "CASE WHEN n_words < 3 THEN array() ELSE sort_array(transform("
         "sequence(0, n_words - 3), i -> shiftleft(xxhash64("
@@ -76,12 +76,20 @@ def measures(text: Column) -> list[dict[str, Column]]:
          "n_lines": size(c("_lines")),
          "n_stop_words": size(F.filter("_words", lambda w: F.lower(w).isin(stops)))},
         {"_windows": windows},
-        #: places of the windows found twice or more, in text order
-        {"_places": F.expr(
-            "sort_array(transform(filter(_windows, (x, i) -> "
+        #: of these, the words themselves (words hold no space) above the place, sorted
+        {"_alike": F.expr(
+            "transform(filter(_windows, (x, i) -> "
             "shiftright(x, _bits) <=> shiftright(get(_windows, i - 1), _bits) OR "
             "shiftright(x, _bits) <=> shiftright(get(_windows, i + 1), _bits)), "
-            "x -> x & (shiftleft(1L, _bits) - 1)))")},
+            "x -> cast(x & (shiftleft(1L, _bits) - 1) AS int))")},
+        {"_grams": F.expr(
+            "sort_array(transform(_alike, p -> struct(concat_ws(' ', get(_words, p), "
+            "get(_words, p + 1), get(_words, p + 2)) AS g, p AS p)))")},
+        #: places of the windows found twice or more, in text order
+        {"_places": F.expr(
+            "sort_array(transform(filter(_grams, (x, i) -> "
+            "x.g <=> get(_grams, i - 1).g OR x.g <=> get(_grams, i + 1).g), "
+            "x -> cast(x.p AS long)))")},
         #: each such window adds the words that the next one does not cover
         {"n_repeat_words": F.expr(
             "aggregate(transform(_places, (p, i) -> "
@@ -115,7 +123,8 @@ def quality_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame
     out = docs
     for layer in measures(text_of(text)):
         out = out.withColumns(layer)
-    out = out.drop("_text", "_words", "_lines", "_shouts", "_bits", "_windows", "_places")
+    out = out.drop("_text", "_words", "_lines", "_shouts", "_bits", "_windows", "_alike",
+                   "_grams", "_places")
     out = (out.withColumn("base_failed", failed([r for r in rules if r.base]))
            .withColumn("kept", ~F.col("base_failed") & ~failed(rules)))
     #: a filter on the verdict must not be pushed below the layers, where every metric would

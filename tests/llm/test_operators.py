@@ -121,6 +121,15 @@ def test_quality_rules(spark, docs, empty):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_windows_that_share_part_of_a_hash_are_no_repeats(spark):
+    #: the hashes of the first and the last window agree in their low 45 bits
+    words = ["a29289", "b", "c", *(f"f{i}" for i in range(2 ** 18)), "a6203776", "b", "c"]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "a29289", "b", "c"]))]
+    out = quality_rules.quality_rules(frame(spark, rows))
+    assert by_id(out, "n_words", "n_repeat_words") == [
+        (1, 2 ** 18 + 6, 0), (2, 2 ** 18 + 9, 6)]
+
+
 def test_quality_rules_reject_junk(spark):
     good = "the house is on the hill and it is green. " * 2 + " ".join(f"word{i} of" for i in range(60))
     rows = [(1, good), (2, good.replace(" ", "### ")), (3, good.replace(" ", " | ")),
