@@ -38,6 +38,8 @@ HASHES = 512
 MARGIN = 0.09
 #: Classes of a bucket that are compared at once.
 BLOCK = 1024
+#: Shingles of a block, about; a block of one class may have more.
+SHINGLES = 1 << 22
 SALTS = 16
 _U = np.uint64
 
@@ -210,10 +212,12 @@ def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: in
 
     `members` has bucket, band, h, label, n_shingles, bits, bands.  Buckets of one component
     need nothing; others are compared block by block, whose rows stand side by side in one
-    task.  A pair comes from the first band alone whose bucket it shares."""
-    met = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"),
-                                        F.max("label").alias("high")).where("low <> high").select(
-        "bucket", F.expr(f"cast(ceil(n / {block}) AS int)").alias("blocks"))
+    task.  Blocks are bounded by classes and by their shingles, so that a block's texts fit a
+    worker.  A pair comes from the first band alone whose bucket it shares."""
+    met = members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.min("label").alias("low"),
+        F.max("label").alias("high")).where("low <> high").select("bucket", F.expr(
+            f"cast(least(n, ceil(greatest(n / {block}, size / {SHINGLES}))) AS int)").alias("blocks"))
     dealt = members.join(met, "bucket").withColumn(
         "i", F.expr("cast(pmod(xxhash64(h, 1), blocks) AS int)")
     ).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(

@@ -310,6 +310,20 @@ def test_near_dedup_chains(spark):
     same(by_id(out, "n_shingles", "component_id", "kept"), brute_components(rows, 4))
 
 
+def test_blocks_are_bounded_by_their_shingles(spark):
+    rows = [(1, 0, h, h, 1 << 20, [7] * 32, [1]) for h in range(64)]
+    members = spark.createDataFrame(
+        rows, "bucket long, band int, h long, label long, n_shingles long, bits array<long>, "
+              "bands array<long>")
+    held = collections.defaultdict(set)
+    pairs = near_dedup.across(members, 80, 4, 512, near_dedup.BLOCK).collect()
+    for p in pairs:
+        held[p["i"], p["j"]] |= {p["a"], p["b"]}
+    assert sorted((p["a"], p["b"]) for p in pairs) == [
+        (a, b) for a in range(64) for b in range(a + 1, 64)]
+    assert max(map(len, held.values())) < 32
+
+
 def test_low_bits_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 1000).astype(np.uint64)
