@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlog.session import scratch_path
@@ -51,3 +51,17 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return os.path.realpath(public_tokenizers.path(name))
+
+
+def ranked(rows: DataFrame, by: list, order: list, k: int, salts: int = 64) -> DataFrame:
+    """The first `k` rows of every group `by` in `order`, with their `rank` from 1.
+
+    Ranked first among the rows of a salt (the partition that made them, modulo `salts`),
+    then among the survivors, so a group with rows from very many tasks is not ranked by
+    one task.
+    """
+    salted = rows.withColumn("_salt", F.spark_partition_id() % salts)
+    near = salted.withColumn("rank", F.row_number().over(
+        Window.partitionBy(*by, "_salt").orderBy(*order))).where(F.col("rank") <= k)
+    return near.drop("_salt").withColumn("rank", F.row_number().over(
+        Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)

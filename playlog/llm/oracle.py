@@ -100,9 +100,71 @@ LEFT JOIN notice USING (doc_id)
 """
 
 
+#: Every anchor against every row, all in whole numbers.
+HARD_NEGATIVES = r"""
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+score AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM score WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                               ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positive p JOIN score n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 100 * n.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+EXACT_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER alike AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = first_value(doc_id) OVER alike AS kept, sha256(t) AS text_sha256
+FROM d WINDOW alike AS (PARTITION BY t ORDER BY n DESC, doc_id)
+"""
+
+RANKED_SEARCH = r"""
+WITH word AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM word GROUP BY 1, 2),
+len AS (SELECT doc_id, count(*) AS n FROM word GROUP BY 1),
+corpus AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM len),
+rare AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), corpus),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf)
+           // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l))))) AS BIGINT) AS score
+  FROM asked JOIN rare USING (t) JOIN tf USING (t) JOIN len USING (doc_id), corpus
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+                     AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op2_near_dedup": NEAR_DEDUP,
         "op3_license_digests": LICENSE_DIGESTS,
         "op5_quality_rules": QUALITY_RULES,
+        "op11_hard_negatives": HARD_NEGATIVES,
+        "op12_exact_dedup": EXACT_DEDUP,
+        "op13_ranked_search": RANKED_SEARCH,
     }

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from playlog.llm import (
     byte_bpe,
+    exact_dedup,
     fingerprints,
+    hard_negatives,
     license_scan,
     near_dedup,
     packing,
     quality_rules,
+    ranked_search,
     secret_scan,
     suffix_dedup,
     token_counts,
@@ -99,6 +102,25 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0,
+                               key="vec_id", positives=5, negatives=3, low=50, high=95)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a stream takes a folder or a pattern: this one matches the table's name alone
+    return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parque[t]").select(
+        F.col("key").alias("doc_id"), F.col("keep_key").alias("keep_id"), "group_size", "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_search.search(documents(spark, sf_dir), items, k=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +139,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_fingerprints": op9_fingerprints,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_exact_dedup": op12_exact_dedup,
+        "op13_ranked_search": op13_ranked_search,
         "pipeline": pipeline,
     }
 
