@@ -7,13 +7,13 @@
    not from the raw source.
 2. The dead-letter partition is the DLQ output (key, original, reason, JSON value).
 3. Skip rate, top by country (with the catalog), royalties and fraud alerts each read
-   the valid partition and write their output ``<group>.[<namespace>.]<suffix>``.  With
-   the late rule, the stream times of skip rate, top and fraud come from one narrow
-   pass (``stage_listens``), staged before the three outputs read it.
+   the valid partition and write their output ``<group>.[<namespace>.]<suffix>``.
 
 With ``late_rule`` the reference's graces apply (an event updates a window only while
 ``window_end > stream_time - grace``, stream time per source partition in offset
-order); without it every valid event counts.
+order); without it every valid event counts.  The rule reads four columns of the valid
+partition once more per windowed output for the windows' closing positions; no event is
+sorted or shuffled for it (``operators.windows.late_windows``).
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from playlog import contract as C
 from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
-from playlog.operators.windows import STREAM_TIME, running_max
 from playlog.session import prepare
 from playlog.streaming.jobs import STATUS_DEAD, STATUS_VALID, validated_table
 
@@ -55,44 +54,15 @@ def read_dead(spark: SparkSession, path: str) -> DataFrame:
         "partition", "offset", "key", "original", "reason", "dlq_value")
 
 
-LISTEN_COLUMNS = ("partition", "offset", "event_time", "event_type", "track_id", "country",
-                  "user_id")
-COMPLETE_STREAM_TIME = "_stream_time_complete"
-
-
-def stage_listens(valid: DataFrame, path: str) -> None:
-    """Stream times of the three windowed outputs in one narrow pass, staged.
-
-    Skip rate (SKIP or COMPLETE) and top (not START) aggregate the very same valid
-    records: one stream time.  Fraud aggregates the COMPLETE ones: its stream time is
-    the running maximum of "event time if COMPLETE" over the same order, read at the
-    COMPLETE rows, so the same window computes it.  Only the columns the three outputs
-    need are staged.
-    """
-    listens = valid.filter(F.col("event_type").isin("SKIP", "COMPLETE")).select(*LISTEN_COLUMNS)
-    complete_time = F.when(F.col("event_type") == "COMPLETE", F.col("event_time"))
-    timed = running_max(listens, ["event_time", complete_time], ["partition"], "offset",
-                        [STREAM_TIME, COMPLETE_STREAM_TIME])
-    timed.write.mode("overwrite").parquet(path)
-
-
-def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig,
-            listens: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four keyed outputs; ``listens`` = staged SKIP/COMPLETE rows with their stream
-    time (late rule on), else they are derived from ``valid``."""
+def outputs(valid: DataFrame, changelog: DataFrame, cfg: BatchConfig) -> dict[str, DataFrame]:
+    """The four keyed outputs."""
     g = (lambda grace: grace) if cfg.late_rule else (lambda grace: None)
     side = catalog.lookup(changelog)
-    heard, completed = valid, valid
-    if listens is not None:
-        heard = listens.drop(COMPLETE_STREAM_TIME)
-        completed = (listens.filter(F.col("event_type") == "COMPLETE")
-                     .withColumn(STREAM_TIME, F.col(COMPLETE_STREAM_TIME))
-                     .drop(COMPLETE_STREAM_TIME))
     return {
-        "skip_rate": skip_rate.skip_rate(heard, grace=g(C.SKIP_GRACE)),
-        "top_by_country": top_country.top_by_country(heard, side, grace=g(C.TOP_GRACE)),
+        "skip_rate": skip_rate.skip_rate(valid, grace=g(C.SKIP_GRACE)),
+        "top_by_country": top_country.top_by_country(valid, side, grace=g(C.TOP_GRACE)),
         "royalties": royalties.royalties(valid),
-        "fraud_alerts": fraud.fraud_alerts(completed, cfg.fraud_window_minutes,
+        "fraud_alerts": fraud.fraud_alerts(valid, cfg.fraud_window_minutes,
                                            grace=g(C.FRAUD_GRACE)),
     }
 
@@ -109,11 +79,7 @@ def run(spark: SparkSession, raw: DataFrame, changelog: DataFrame, out_root: str
     read_dead(spark, staged).write.mode("overwrite").format(cfg.output_format).save(f"{root}/{dlq_name}")
     written[dlq_name] = f"{root}/{dlq_name}"
     valid = read_valid(spark, staged)
-    listens = None
-    if cfg.late_rule:
-        stage_listens(valid, f"{root}/_staged/listens")
-        listens = spark.read.parquet(f"{root}/_staged/listens")
-    for kind, df in outputs(valid, changelog, cfg, listens).items():
+    for kind, df in outputs(valid, changelog, cfg).items():
         name = C.output_name(kind, cfg.group, cfg.namespace)
         df.write.mode("overwrite").format(cfg.output_format).save(f"{root}/{name}")
         written[name] = f"{root}/{name}"

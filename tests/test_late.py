@@ -103,3 +103,74 @@ def test_running_max_several_values_in_one_pass(spark):
     got = running_max(df, ["v", cond], ["p"], "o", ["a", "b"], block_rows=10)
     assert sorted(want.collect()) == sorted(got.select("p", "o", "a", "b").collect())
     assert got.columns == ["p", "o", "v", "c", "a", "b"]
+
+
+def test_running_max_holds_few_blocks_a_task(spark):
+    """Hierarchical prefix: blocks of 2, at most 4 blocks a window, five levels."""
+    rnd = random.Random(3)
+    rows = [(p, o, rnd.choice([None, rnd.randint(0, 1000)])) for p in range(2)
+            for o in rnd.sample(range(1000), 400)]
+    df = spark.createDataFrame(rows, "p int, o bigint, v int")
+    for inclusive, end in ((True, 0), (False, -1)):
+        plain = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, end)
+        want = df.select("p", "o", F.max("v").over(plain).alias("m"))
+        got = running_max(df, "v", ["p"], "o", "m", inclusive=inclusive, block_rows=2, fan=4,
+                          order_bits=10)
+        key = lambda r: (r[0], r[1])
+        assert sorted(want.collect(), key=key) == sorted(got.select("p", "o", "m").collect(), key=key)
+
+
+def _random_events(spark, seed, n=600):
+    """Two partitions whose time moves on unevenly, with late and early events."""
+    rnd = random.Random(seed)
+    rows, now = [], [0, 5000]
+    for o in range(n):
+        p = rnd.random() < 0.3
+        now[p] += rnd.choice([0, 1, 7, 60, 400])
+        t = now[p] - rnd.choice([0, 0, 0, 30, 600, 3000, 9000]) + rnd.choice([0, 0, 0, 0, 1500])
+        rows.append((int(p), 3 * o + 7, t, f"k{o % 5}"))
+    rows += [(None, 1, 100, "k"), (None, 2, 90000, "k"), (None, 3, 50, "k")]
+    return spark.createDataFrame(rows, "partition int, offset bigint, s bigint, k string").select(
+        "partition", "offset", F.timestamp_seconds(F.col("s") - 4000).alias("event_time"), "k")
+
+
+def test_late_windows_match_the_per_record_rule(spark, monkeypatch):
+    from playlog.operators import windows
+
+    monkeypatch.setattr(windows, "INTERVAL", 400_000_000)
+    past = Window.partitionBy("partition").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    for seed, (size, slide, grace) in enumerate([
+            ("10 minutes", None, "20 minutes"), ("15 minutes", "5 minutes", "0 seconds"),
+            ("5 minutes", "2 minutes", "1 minute"), ("10 minutes", None, "3 hours")]):
+        df = _random_events(spark, seed).cache()
+        window = F.window("event_time", size, slide) if slide else F.window("event_time", size)
+        plain = (df.withColumn("_s", F.max("event_time").over(past))
+                 .select("*", window.alias("window"))
+                 .where(F.col("window.end") > F.col("_s") - F.expr(f"INTERVAL {grace}")).drop("_s"))
+        want = sorted(map(repr, plain.collect()))
+        assert seed == 3 or 0 < len(want) < df.count() * 3
+        for limit in (None, 40 * windows.CLOSING_BYTES, 0):
+            got = windows.late_windows(df, "event_time", size, slide, grace, limit_bytes=limit)
+            assert sorted(map(repr, got.collect())) == want, (size, slide, grace, limit)
+
+
+def test_the_late_rule_shuffles_no_event(spark, tmp_path):
+    """One broadcast join ahead of the partial counts; beyond the limit only events between an
+    interval's first and last closing go to the exact table."""
+    from playlog.operators import windows
+
+    _random_events(spark, 1, 2000).withColumn("event_type", F.lit("SKIP")).withColumnRenamed(
+        "k", "track_id").write.parquet(f"{tmp_path}/valid")
+    valid = spark.read.parquet(f"{tmp_path}/valid")
+    counts = skip_rate.skip_rate(valid, grace="10 minutes")
+    counts.collect()
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 0
+    moved = [x for x in plan.split("\n") if "Exchange" in x and "Broadcast" not in x]
+    assert moved and all("hashpartitioning(track_id" in x for x in moved)
+
+    few = windows.late_windows(valid, "event_time", "10 minutes", None, "10 minutes",
+                               limit_bytes=8 * windows.CLOSING_BYTES)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert "_first" in plan and "_last" in plan
