@@ -5,7 +5,7 @@ Reading rules: surrounding white space is ignored and blank lines are skipped;
 ``ts_ms`` missing, null, false, 0 or "" reads as 0, true as 1, a number is truncated
 to an integer, a text of digits (with optional sign and ``_`` separators) is read as
 that integer; ``value`` missing reads as ""; the topic is the file name without
-``.jsonl``.  A line that is not such an object is set aside (``unreadable``) instead of
+``.jsonl``.  A line that is not one such object, or more than one, is set aside (``unreadable``) instead of
 stopping the whole read.
 
 Batch: ``spark.read.text``; streaming: ``spark.readStream.text`` on the same folder.
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlog.functions.jsonparse import fence
+from playlog.functions.jsonparse import fence, more_than_one_value
 
 _WS = r"[\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}]"
 LINE_SCHEMA = T.StructType([
@@ -81,14 +81,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     staged = lines.select("topic", *POSITION, stripped.alias("_s"))
     parsed = staged.select("topic", *POSITION, (F.col("_s") == "").alias("blank"),
                            (F.startswith("_s", F.lit("{")) & F.endswith("_s", F.lit("}")))
-                           .alias("_whole"),
+                           .alias("_whole"), more_than_one_value(F.col("_s")).alias("_more"),
                            F.from_json("_s", LINE_SCHEMA, {
                                "mode": "PERMISSIVE", "allowSingleQuotes": "false"}).alias("_r"))
     r = F.col("_r")
     v_type = F.schema_of_variant(r.value)
     ts, ts_bad = _ts_ms(r.ts_ms)
     value = F.when(r.value.isNull(), F.lit("")).otherwise(F.try_variant_get(r.value, "$", "string"))
-    bad = (~F.col("_whole") | r.isNull() | r._corrupt_record.isNotNull() | ts_bad
+    bad = (~F.col("_whole") | F.col("_more") | r.isNull() | r._corrupt_record.isNotNull() | ts_bad
            | F.coalesce(~v_type.isin("STRING", "VOID"), F.lit(False)))
     return fence(parsed.select(
         "topic", *POSITION,

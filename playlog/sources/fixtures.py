@@ -68,6 +68,9 @@ EVENTS_BODY = [
 # 28 lower-case t / z (valid) | 29 blank instead of T | 30 white space between tokens (valid)
 # 31 ms_played null | 32 ms_played "" | 33 country null | 34 ms_played 12.7e3 (valid)
 # 35 hour-only offset | 36 artist U+2003 (blank) | 37 artist U+00A0 (not blank: valid)
+# 38 event_id twice, first an object | 39 ms_played twice, first "x" | 40 event_id twice (valid)
+# 41, 42 event_id the numbers 1.50, 1.5, both paid (valid) | 43 user_id the number 1e3 (valid)
+# The broker time lies before 1970 for seq % 400 = 5 (whose own time is unreadable).
 SPARK_RAW_HEAD = [
     "*", "seq % 200 AS a",
     "CASE WHEN seq % 200 = 10 THEN ts - INTERVAL 90 MINUTES ELSE ts END AS ets",
@@ -85,20 +88,25 @@ DUCK_RAW_ISO = [
 ]
 RAW_JSON = [
     "seq", "a", "user_id", "ts",
-    "'{' || CASE a WHEN 20 THEN '' ELSE '\"event_id\":\"' || event_id || '\",' END"
+    "'{' || CASE a WHEN 38 THEN '\"event_id\":{\"a\":1},' WHEN 40 THEN '\"event_id\":\"first\",'"
+    " ELSE '' END || CASE a WHEN 20 THEN '' WHEN 41 THEN '\"event_id\":1.50,'"
+    " WHEN 42 THEN '\"event_id\":1.5,' ELSE '\"event_id\":\"' || event_id || '\",' END"
     " || '\"user_id\":' || CASE a WHEN 18 THEN substring(user_id, 3) WHEN 21 THEN '\"\"'"
+    " WHEN 43 THEN '1e3'"
     " ELSE '\"' || user_id || '\"' END"
     " || CASE a WHEN 0 THEN '' WHEN 26 THEN ',\"track_id\":{\"id\":\"' || track_id || '\"}'"
     " ELSE ',\"track_id\":\"' || track_id || '\"' END"
     " || ',\"artist\":' || CASE a WHEN 19 THEN '\"  \"' WHEN 36 THEN '\"\u2003\"'"
-    " WHEN 37 THEN '\"\u00a0\"' ELSE '\"' || artist || '\"' END"
+    " WHEN 37 THEN '\"\u00a0\"' WHEN 41 THEN '\"artist-lit\"' WHEN 42 THEN '\"artist-lit\"' ELSE '\"' || artist || '\"' END"
     " || ',\"event_type\":' || CASE a WHEN 1 THEN 'null' WHEN 4 THEN '\"COMPLETEE\"'"
+    " WHEN 41 THEN '\"COMPLETE\"' WHEN 42 THEN '\"COMPLETE\"'"
     " ELSE '\"' || event_type || '\"' END"
     " || ',\"ms_played\":' || CASE a WHEN 2 THEN '\"douze\"' WHEN 3 THEN '-5000'"
     " WHEN 15 THEN '\"' || CAST(ms_played AS STRING) || '\"'"
     " WHEN 16 THEN CAST(ms_played AS STRING) || '.9'"
     " WHEN 24 THEN '99999999999' WHEN 25 THEN 'true' WHEN 31 THEN 'null' WHEN 32 THEN '\"\"'"
-    " WHEN 34 THEN '12.7e3' ELSE CAST(ms_played AS STRING) END"
+    " WHEN 34 THEN '12.7e3' WHEN 39 THEN '\"x\",\"ms_played\":5'"
+    " WHEN 41 THEN '45000' WHEN 42 THEN '45000' ELSE CAST(ms_played AS STRING) END"
     " || ',\"country\":' || CASE a WHEN 9 THEN '\"XX\"' WHEN 33 THEN 'null'"
     " ELSE '\"' || country || '\"' END"
     " || CASE a WHEN 22 THEN ''"
@@ -124,7 +132,7 @@ RAW_OUT = [
     "seq", "a AS anomaly",
     "CAST(seq % 6 AS INT) AS {partition}",
     "CAST(2 * seq + copy - 1 AS BIGINT) AS {offset}",
-    "ts AS broker_time",
+    "CASE WHEN seq % 400 = 5 THEN ts - INTERVAL 60 YEARS ELSE ts END AS broker_time",
     "key", "value",
 ]
 
