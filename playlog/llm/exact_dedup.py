@@ -46,13 +46,15 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a store would otherwise reserve some MB for its logs, however small it is
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 DIGEST_BYTES = 32
 
 
 @contextmanager
 def _conf(spark: SparkSession, values: dict[str, str]):
-    """Settings that a stream takes over when it starts."""
+    """Settings that a stream takes over when it starts, and a reader of its state."""
     old = {k: spark.conf.get(k, None) for k in values}
     for k, v in values.items():
         spark.conf.set(k, v)
@@ -125,7 +127,8 @@ def exact_dedup(spark: SparkSession, files: str, key: str = "doc_id", text: str
     _drain(grouped, f"{root}/_classes", format="noop", outputMode="update")
 
     rows = spark.read.schema(narrow.schema).parquet(f"{root}/rows")
-    classes = staged(state_of(spark, f"{root}/_classes"), "exact-classes")
+    with _conf(spark, STATE_CONF):
+        classes = staged(state_of(spark, f"{root}/_classes"), "exact-classes")
     hits = classes.where("group_size > 1").select("digest")
     bound = hits.count() * (DIGEST_BYTES + ROW_OVERHEAD_BYTES)
     texts = _rows(table, key, text, digest, texts=True).join(
