@@ -38,9 +38,10 @@ def main(argv=None) -> None:
     s.add_argument("--state-partitions", type=int, default=None,
                    help="state / shuffle partitions of the stateful queries")
     s.add_argument("--max-offsets-per-trigger", type=int, default=None,
-                   help="bound of a micro-batch read from Kafka, in records")
+                   help="bound of a micro-batch read from either Kafka topic, in records")
     s.add_argument("--max-files-per-trigger", type=int, default=None,
-                   help="bound of a micro-batch read from dumps or the validated table")
+                   help="bound of a micro-batch read from dumps (default: one file, so that "
+                        "files follow each other) or the validated table")
     s.add_argument("--dedup-ttl", default=None,
                    help="bound the royalty de-duplication state, e.g. '7 days'")
     s.add_argument("--to-kafka", action="store_true",
@@ -66,23 +67,25 @@ def main(argv=None) -> None:
         for name, path in batch.run(spark, raw, changelog, a.out, cfg).items():
             print(name, path)
     else:
-        from playlog.sources import dump, kafka
-        from playlog.streaming import jobs
+        from playlog.sources import kafka
+        from playlog.streaming import dumps, jobs
+        trigger = jobs.Trigger(available_now=False, every=a.every, state_partitions=a.state_partitions)
         if a.dump_events:
-            raw = dump.as_messages(dump.records(dump.stream_lines(spark, a.dump_events)))
-            changelog = (dump.as_messages(dump.records(dump.stream_lines(spark, a.dump_catalog)))
-                         if a.dump_catalog else None)
+            def messages(folder, name):
+                return dumps.start_messages(spark, folder, f"{a.out.rstrip('/')}/_dumps/{name}", trigger,
+                                            a.max_files_per_trigger or 1)[1]
+            raw = messages(a.dump_events, "events")
+            changelog = messages(a.dump_catalog, "catalog") if a.dump_catalog else None
         else:
             min_parts = a.min_partitions or spark.sparkContext.defaultParallelism
             raw = kafka.read_topic(spark, a.bootstrap, a.events_topic, min_partitions=min_parts,
                                    max_offsets_per_trigger=a.max_offsets_per_trigger)
-            changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic)
+            changelog = kafka.read_topic(spark, a.bootstrap, a.catalog_topic,
+                                         max_offsets_per_trigger=a.max_offsets_per_trigger)
         paths = jobs.Paths(a.out, group=a.group, namespace=a.namespace)
         if a.to_kafka:
             paths.kafka = jobs.KafkaOut(a.bootstrap, a.group, a.namespace)
-        queries = jobs.run(spark, raw, paths, changelog,
-                           jobs.Trigger(available_now=False, every=a.every,
-                                        state_partitions=a.state_partitions), wait=False,
+        queries = jobs.run(spark, raw, paths, changelog, trigger, wait=False,
                            fraud_window_minutes=a.fraud_window_minutes,
                            dedup_ttl=a.dedup_ttl, max_files=a.max_files_per_trigger)
         for q in queries:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from playlog import contract as C
@@ -22,6 +22,11 @@ def skip_counters(valid: DataFrame, window: str = C.SKIP_WINDOW, grace: str | No
     listened = valid.filter(F.col("event_type").isin("SKIP", "COMPLETE"))       # F1
     grouped = windowed_groups(listened, ["track_id"], time_col, window, None, grace,
                               domain_cols, order_col)
+    return counters(grouped)
+
+
+def counters(grouped: GroupedData) -> DataFrame:
+    """The two counters of each group."""
     return grouped.agg(
         F.count_if(F.col("event_type") == "SKIP").cast("int").alias("skips"),
         F.count_if(F.col("event_type") != "SKIP").cast("int").alias("completes"))
@@ -40,8 +45,8 @@ def skip_rate(valid: DataFrame, window: str = C.SKIP_WINDOW, grace: str | None =
               domain_cols: Sequence[str] = ("partition",), order_col: str = "offset") -> DataFrame:
     """Skip-rate rows: track_id, window_start, window_end, skips, completes, total,
     skip_rate, flop.  ``grace`` applies the batch late-data rule (None: every event)."""
-    counters = skip_counters(valid, window, grace, domain_cols, order_col)
-    return counters.select("track_id", *window_bounds(), "skips", "completes",
+    counted = skip_counters(valid, window, grace, domain_cols, order_col)
+    return counted.select("track_id", *window_bounds(), "skips", "completes",
                            *rate_columns(flop_rate, flop_min))
 
 

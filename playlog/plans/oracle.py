@@ -274,6 +274,52 @@ def _dlq_json(orig: str, reason: str) -> str:
             f"|| to_json({reason}) || '}}'")
 
 
+#: The fields of the published records: (JSON name, column, is it text).
+RECORDS = {
+    "skip_rate": (("track_id",), [
+        ("track_id", "track_id", True), ("window_start", "window_start", True),
+        ("window_end", "window_end", True), ("skips", "skips", False),
+        ("completes", "completes", False), ("total", "total", False),
+        ("skip_rate", "skip_rate", False), ("flop", "flop", False)]),
+    "top_by_country": (("country", "track_id"), [
+        ("country", "country", True), ("track_id", "track_id", True), ("title", "title", True),
+        ("artist", "artist", True), ("genre", "genre", True), ("window_start", "window_start", True),
+        ("window_end", "window_end", True), ("listens", "listens", False),
+        ("enriched", "enriched", False)]),
+    "royalties": (("artist",), [
+        ("artist", "artist", True), ("paid_streams", "paid_streams", False),
+        ("total", "total", False)]),
+    "fraud_alerts": (("user_id", "track_id"), [
+        ("userId", "user_id", True), ("trackId", "track_id", True), ("count", '"count"', False),
+        ("windowStart", "window_start", True), ("windowEnd", "window_end", True)]),
+}
+
+
+def _record_sql(kind: str, sql: str) -> str:
+    keys, fields = RECORDS[kind]
+    body = " || ',' || ".join(
+        f"'\"{n}\":' || " + (f"coalesce(CAST(to_json({c}) AS VARCHAR), 'null')" if text
+                             else f"CAST({c} AS VARCHAR)") for n, c, text in fields)
+    return (f"SELECT '{C.output_name(kind)}' AS topic, {' || chr(124) || '.join(keys)} AS key, "
+            f"'{{' || {body} || '}}' AS value FROM ({sql})")
+
+
+def _records_sql(outputs: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(_record_sql(k, q) for k, q in outputs.items())
+
+
+def _batch_job_sql() -> str:
+    records = _records_sql({
+        "skip_rate": _skip_rate_sql(late_grace="3 HOUR"), "top_by_country": _top_sql(late_grace="3 HOUR"),
+        "royalties": _royalties_sql(),
+        "fraud_alerts": _fraud_sql(C.FRAUD_WINDOW_MINUTES, late_grace="1 MINUTE")})
+    return f"""{records}
+UNION ALL
+SELECT * FROM ({_with(fixture_ctes(), validation_ctes())}
+SELECT '{C.output_name("dlq")}' AS topic, key, {_dlq_json('value', 'reason')} AS value
+FROM val WHERE reason IS NOT NULL)"""
+
+
 def _event_time_resolved_sql() -> str:
     return f"""{_with(fixture_ctes(), validation_ctes())}
 , e0 AS (SELECT *, coalesce(event_time_ms, CASE WHEN epoch_ms(broker_time) >= 0 THEN epoch_ms(broker_time) END) AS base FROM val),
@@ -317,6 +363,10 @@ SELECT "partition", "offset", key, value FROM catp WHERE value IS NOT NULL AND N
         "fraud_alerts": _fraud_sql(C.FRAUD_WINDOW_MINUTES),
         "fraud_alerts_hourly": _fraud_sql(60),
         "late_filtered_fraud": _fraud_sql(C.FRAUD_WINDOW_MINUTES, late_grace="1 MINUTE"),
+        "published_records": _records_sql({
+            "skip_rate": _skip_rate_sql(), "top_by_country": _top_sql(),
+            "royalties": _royalties_sql(), "fraud_alerts": _fraud_sql(C.FRAUD_WINDOW_MINUTES)}),
+        "batch_job_outputs": _batch_job_sql(),
     }
     from playlog.plans import replay_oracle, stream_oracle
     sql.update(replay_oracle.oracle(fixture_ctes))

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from playlog import contract as C
 from playlog.functions.validation import validate
 from playlog.operators import catalog, fraud, ingest, royalties, skip_rate, top_country
-from playlog.session import prepare, staged
+from playlog.session import prepare, scratch_path, staged
 from playlog.sources import fixtures
+from playlog.streaming.sinks import publish
 
 VALID_OUT = ("partition", "offset", "event_id", "user_id", "track_id", "artist", "event_type",
              "ms_played", "country", "timestamp", "event_time_ms")
@@ -139,6 +140,38 @@ def late_filtered_fraud(spark, sf_dir):
     return fraud.fraud_alerts(valid_once(spark, sf_dir), grace=C.FRAUD_GRACE)
 
 
+# ---- published records and the whole job ---------------------------------------------
+def _published(frames: dict[str, DataFrame]) -> DataFrame:
+    """topic, key, value of several keyed outputs as the contract publishes them."""
+    out = None
+    for kind, df in frames.items():
+        rows = publish(df, kind).select(F.lit(C.output_name(kind)).alias("topic"), "key", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def published_records(spark, sf_dir):
+    """Keys joined by |, values as JSON, alerts with their own field names."""
+    v = valid_once(spark, sf_dir)
+    return _published({
+        "skip_rate": skip_rate.skip_rate(v), "royalties": royalties.royalties(v),
+        "top_by_country": top_country.top_by_country(v, catalog_side(spark, sf_dir)),
+        "fraud_alerts": fraud.fraud_alerts(v)})
+
+
+def batch_job_outputs(spark, sf_dir):
+    """One run of the whole batch job; its five written outputs as published."""
+    from playlog.plans import batch
+
+    written = batch.run(spark, raw(spark, sf_dir), changelog(spark, sf_dir),
+                        scratch_path(spark, "batch_job_outputs"))
+    kinds = {C.output_name(k): k for k in C.OUTPUT_SUFFIXES}
+    tables = {kinds[name]: spark.read.parquet(path) for name, path in written.items()}
+    dead = tables.pop("dlq").select(F.lit(C.output_name("dlq")).alias("topic"), "key",
+                                    F.col("dlq_value").alias("value"))
+    return _published(tables).unionByName(dead)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from playlog.plans import replay_queries, stream_queries
     reg = {
@@ -160,6 +193,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_alerts": fraud_alerts_q,
         "fraud_alerts_hourly": fraud_alerts_hourly,
         "late_filtered_fraud": late_filtered_fraud,
+        "published_records": published_records,
+        "batch_job_outputs": batch_job_outputs,
     }
     reg.update(replay_queries.registry())
     reg.update(stream_queries.registry())

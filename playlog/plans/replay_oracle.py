@@ -19,7 +19,8 @@ recs AS (
     cut = f"substring(value, 1, {C.PREVIEW_CHARS})"
     return {
         "dump_records": base + "SELECT * FROM recs",
-        "dump_timeline": base + "SELECT ts_ms, topic, key, value FROM recs",
+        "dump_timeline": base + """SELECT ts_ms, topic, key, value,
+  row_number() OVER (ORDER BY ts_ms, file_name, split_start, split_row) AS rank FROM recs""",
         "dump_topic_counts": base + "SELECT topic, count(*) AS messages FROM recs GROUP BY topic",
         "dump_preview": base + f"""SELECT topic, key, {cut} AS value_preview,
   topic || ' | ' || coalesce(key, 'None') || ' | ' || coalesce({cut}, 'None') AS line FROM recs""",

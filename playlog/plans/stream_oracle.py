@@ -5,6 +5,7 @@ from __future__ import annotations
 SAME_AS = {"stream_skip_rate": "skip_rate", "stream_top": "top_by_country",
            "stream_royalties": "royalties", "stream_fraud": "fraud_alerts",
            "stream_royalties_batches": "royalties",
+           "stream_late_exact": "late_filtered_skip_rate",
            "stream_dlq": "dlq_messages", "stream_catalog": "catalog_latest"}
 
 

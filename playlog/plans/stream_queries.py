@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from playlog.session import prepare, scratch_path
 from playlog.sources import fixtures
-from playlog.streaming import jobs
+from playlog.streaming import exact, jobs
 
 
 def _catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,7 @@ def stream_catalog(spark, sf_dir):
 BATCHES = 6
 FILES_PER_BATCH = 4
 BATCH_GRACE = "30 minutes"
+EXACT_GRACE = "1 hour"   # that of late_filtered_skip_rate
 
 
 def _valid_in_batches(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,8 +101,21 @@ def stream_royalties_batches(spark, sf_dir):
     return _batched(spark, sf_dir, "stream_royalties_batches", jobs.start_royalties, "royalties")
 
 
+def stream_late_exact(spark, sf_dir):
+    """The per-record late rule over several micro-batches, each source partition with its own
+    stream time."""
+    prepare(spark)
+    paths = jobs.Paths(scratch_path(spark, "stream_late_exact"))
+    trigger = jobs.Trigger(state_partitions=2 * spark.sparkContext.defaultParallelism)
+    for q in exact.start_skip_rate(_valid_in_batches(spark, sf_dir, "stream_late_exact"), paths,
+                                   trigger, grace=EXACT_GRACE):
+        q.awaitTermination()
+    return jobs.output(spark, paths, "skip_rate")
+
+
 def registry():
-    return {"stream_skip_rate_batches": stream_skip_rate_batches,
+    return {"stream_late_exact": stream_late_exact,
+            "stream_skip_rate_batches": stream_skip_rate_batches,
             "stream_royalties_batches": stream_royalties_batches,
             "stream_skip_rate": stream_skip_rate, "stream_top": stream_top,
             "stream_royalties": stream_royalties, "stream_fraud": stream_fraud,

@@ -8,7 +8,8 @@ that integer; ``value`` missing reads as ""; the topic is the file name without
 ``.jsonl``.  A line that is not one such object, or more than one, is set aside (``unreadable``) instead of
 stopping the whole read.
 
-Batch: ``spark.read.text``; streaming: ``spark.readStream.text`` on the same folder.
+Batch: ``spark.read.text``.  Streaming: ``spark.readStream.text`` on the same folder, its lines
+put in place by ``streaming.dumps``.
 """
 
 from __future__ import annotations
@@ -31,29 +32,33 @@ POSITION = ("file_name", "split_start", "split_row")
 
 
 def _lines(text: DataFrame) -> DataFrame:
-    """Raw text rows → (topic, file_name, split_start, split_row, line).
-
-    Streams carry no row position inside a split (the merge order is a batch export;
-    streams order by event time and watermarks), so ``split_row`` is null there.
-    """
-    row = (F.lit(None).cast("bigint") if text.isStreaming
-           else F.monotonically_increasing_id())
+    """Raw text rows → (topic, file_name, split_start, line)."""
     return text.select(
         F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1).alias("topic"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
-        row.alias("split_row"),
         F.col("value").alias("line"))
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.jsonl`` line of a dump folder with its topic and position."""
-    return _lines(spark.read.text(f"{folder.rstrip('/')}/*.jsonl"))
+    return _lines(spark.read.text(f"{folder.rstrip('/')}/*.jsonl")).withColumn(
+        "split_row", F.monotonically_increasing_id())
+
+
+def stream_text(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The lines of new ``*.jsonl`` files of the folder as they appear, ``max_files`` files a
+    micro-batch at most; without row numbers, which a stream does not have."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _lines(reader.text(f"{folder.rstrip('/')}/*.jsonl"))
 
 
 def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Streaming variant: new ``*.jsonl`` files of the folder as they appear."""
-    return _lines(spark.readStream.text(f"{folder.rstrip('/')}/*.jsonl"))
+    """``stream_text`` in the shape of ``read_lines``: ``split_row`` is null, so these lines have no
+    order.  ``streaming.dumps`` keeps it."""
+    return stream_text(spark, folder).withColumn("split_row", F.lit(None).cast("bigint"))
 
 
 def _ts_ms(v: Column) -> tuple[Column, Column]:
@@ -108,15 +113,13 @@ def read_dump(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_messages(recs: DataFrame) -> DataFrame:
-    """Dump records as Kafka-shaped messages for the jobs (batch or stream).
+    """Dump records as Kafka-shaped messages for the jobs.
 
     A replay publishes a topic's file line by line with ``ts_ms`` as broker time, so the
-    line order is the ingestion order.  In batch the offset is the split's byte offset plus
+    line order is the ingestion order.  The offset is the split's byte offset plus
     the line's number in its task: it grows with the line order of a file, as a line takes
     at least one byte and only the last, short split of a file shares a task with others.
-    A stream has no line numbers; there ``ts_ms`` is the position and ties have no order.
     """
     line = F.col("split_start") + F.col("split_row").bitwiseAND((1 << 33) - 1)
-    return recs.select(F.lit(0).alias("partition"),
-                       F.coalesce(line, F.col("ts_ms")).alias("offset"),
+    return recs.select(F.lit(0).alias("partition"), line.alias("offset"),
                        F.timestamp_millis("ts_ms").alias("broker_time"), "key", "value")

@@ -36,14 +36,23 @@ from playlog.operators import catalog, fraud, royalties, skip_rate, top_country
 from playlog.operators.joins import bounded_broadcast, size_bound
 from playlog.operators.windows import window_bounds
 from playlog.session import prepare
-from playlog.streaming.sinks import batches, publish, read_table, upsert_batch
+from playlog.streaming.sinks import (
+    BATCH_COL,
+    batches,
+    get_text,
+    numbered,
+    publish,
+    put_text,
+    read_table,
+    upsert_batch,
+)
 
 STATUS_VALID = "valid"
 STATUS_DEAD = "dead_letter"
 
 
 @contextmanager
-def _session_conf(spark: SparkSession, key: str, value):
+def session_conf(spark: SparkSession, key: str, value):
     """Set a session conf for the duration of a query start (a stream keeps the values
     it started with)."""
     if value is None:
@@ -75,7 +84,7 @@ class Trigger:
         return writer.trigger(availableNow=True) if self.available_now else writer
 
     def start(self, writer, spark: SparkSession, path: str | None = None) -> StreamingQuery:
-        with _session_conf(spark, "spark.sql.shuffle.partitions", self.state_partitions):
+        with session_conf(spark, "spark.sql.shuffle.partitions", self.state_partitions):
             w = self.apply(writer)
             return w.start(path) if path else w.start()
 
@@ -125,10 +134,10 @@ def validated_table(raw: DataFrame) -> DataFrame:
         F.when(dead, to_json_text(F.col("value").alias("original"), "reason")).alias("dlq_value"))
 
 
-def start_dlq_to_kafka(spark: SparkSession, paths: Paths, schema,
-                      trigger: Trigger = Trigger()) -> StreamingQuery:
+def start_dlq_to_kafka(spark: SparkSession, paths: Paths, schema, trigger: Trigger = Trigger(),
+                       max_files: int | None = None) -> StreamingQuery:
     """K1 on Kafka: the dead letters, keyed by the original key, value = DLQ JSON."""
-    dead = (_table_stream(spark, paths.validated, schema)
+    dead = (table_stream(spark, paths.validated, schema, max_files)
             .filter(F.col("status") == STATUS_DEAD)
             .select(F.col("key"), F.col("dlq_value").alias("value")))
     w = (dead.writeStream.format("kafka").option("kafka.bootstrap.servers", paths.kafka.bootstrap)
@@ -152,7 +161,7 @@ def _ensure_dir(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hpath)
 
 
-def _table_stream(spark: SparkSession, path: str, schema,
+def table_stream(spark: SparkSession, path: str, schema,
                   max_files: int | None = None) -> DataFrame:
     """The validated table as a stream; ``max_files`` bounds a micro-batch."""
     _ensure_dir(spark, path)
@@ -169,7 +178,7 @@ def validated_schema(raw_stream: DataFrame):
 
 def valid_stream(spark: SparkSession, paths: Paths, schema,
                  max_files: int | None = None) -> DataFrame:
-    s = _table_stream(spark, paths.validated, schema, max_files)
+    s = table_stream(spark, paths.validated, schema, max_files)
     return s.filter(F.col("status") == STATUS_VALID).select(
         *[c for c in ("partition", "offset") if c in s.columns], *EVENT_COLUMNS)
 
@@ -182,14 +191,17 @@ def dead_letters(spark: SparkSession, paths: Paths) -> DataFrame:
         "original", "reason", "dlq_value")
 
 
-def _upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger) -> StreamingQuery:
-    """Update-mode output of one keyed result: upsert table, or Kafka changelog topic."""
+def upsert(df: DataFrame, kind: str, paths: Paths, trigger: Trigger,
+           grace: str | None = None) -> StreamingQuery:
+    """Update-mode output of one keyed result: upsert table, or Kafka changelog topic.
+    ``grace``: the watermark delay of a windowed result."""
     if paths.kafka is not None:
         w = (publish(df, kind).writeStream.format("kafka")
              .option("kafka.bootstrap.servers", paths.kafka.bootstrap)
              .option("topic", paths.kafka.topic(kind)))
     else:
-        w = df.writeStream.foreachBatch(upsert_batch(paths.out(kind), C.UPSERT_KEYS[kind]))
+        w = df.writeStream.foreachBatch(
+            upsert_batch(paths.out(kind), C.UPSERT_KEYS[kind], grace=grace))
     w = w.outputMode("update").option("checkpointLocation", paths.checkpoint(kind))
     return trigger.start(w, df.sparkSession)
 
@@ -199,23 +211,55 @@ def start_skip_rate(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger()
     counters = skip_rate.skip_counters(valid.withWatermark("event_time", grace), window)
     out = counters.select("track_id", *window_bounds(), "skips", "completes",
                           *skip_rate.rate_columns())
-    return _upsert(out, "skip_rate", paths, trigger)
+    return upsert(out, "skip_rate", paths, trigger, grace)
+
+
+CATALOG_TEXTS = ("key", "title", "artist", "genre")
 
 
 def start_catalog(changelog_stream: DataFrame, paths: Paths, trigger: Trigger = Trigger()
                   ) -> StreamingQuery:
-    """Latest state per catalog key, deletions kept as ``deleted`` rows."""
+    """Latest state per catalog key, deletions kept as ``deleted`` rows; each micro-batch also
+    leaves the state's version and the bound of its size (``CatalogSide`` reads them)."""
     tracks = catalog.parse_tracks(changelog_stream)
     usable = tracks.filter(F.col("value").isNull() | F.col("readable"))
     state = F.struct(F.col("value").isNull().alias("deleted"),
                      *[F.col(f) for f in catalog.TRACK_FIELDS])
     cur = usable.groupBy("key").agg(F.max_by(state, F.struct("partition", "offset")).alias("s"))
     out = cur.select("key", *[F.col(f"s.{f}").alias(f) for f in ("deleted",) + catalog.TRACK_FIELDS])
-    w = (out.writeStream.foreachBatch(upsert_batch(paths.catalog, ["key"])).outputMode("update")
+    w = (out.writeStream.foreachBatch(catalog_batch(paths)).outputMode("update")
          .option("checkpointLocation", paths.checkpoint("catalog")))
     return trigger.start(w, out.sparkSession)
 
 
+def catalog_batch(paths: Paths):
+    """``foreachBatch`` function of the catalog: the state, then its version and size bound."""
+    write = upsert_batch(paths.catalog, ["key"])
+
+    def write_version(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        spark = batch.sparkSession
+        added = size_bound(spark.read.parquet(f"{paths.catalog}/{BATCH_COL}={batch_id}"), *CATALOG_TEXTS)
+        # a batch that holds the whole state says it all; others add to the version before
+        whole = batches(spark, paths.catalog)[1][-1:] == [batch_id]
+        before = None if whole else catalog_version(spark, paths, batch_id)
+        put_text(spark, f"{paths.catalog}/{VERSIONS}/{batch_id}", str(added + (before or (0, 0))[1]))
+    return write_version
+
+
+VERSIONS = "_versions"
+
+
+def catalog_version(spark: SparkSession, paths: Paths, before: int | None = None
+                    ) -> tuple[int, int] | None:
+    """(version, bound of the state's bytes) of the newest catalog batch, or of the newest one
+    ``before`` another."""
+    ids = [i for i in numbered(spark, f"{paths.catalog}/{VERSIONS}") if before is None or i < before]
+    if not ids:
+        return None
+    return ids[-1], int(get_text(spark, f"{paths.catalog}/{VERSIONS}/{ids[-1]}"))
+
+
 def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
     """The catalog's rows, or None as long as none was written (every track is then
     uncatalogued).  Any error while reading it fails the micro-batch."""
@@ -225,13 +269,35 @@ def current_catalog(spark: SparkSession, paths: Paths) -> DataFrame | None:
     return state.filter(~F.col("deleted")).drop("deleted")
 
 
-def catalog_side_now(spark: SparkSession, paths: Paths) -> DataFrame:
-    cur = current_catalog(spark, paths)
-    if cur is None:
-        cur = spark.createDataFrame([], "key string, title string, artist string, genre string")
-    side = cur.select(F.col("key").alias("_track_key"), "title", "artist", "genre",
-                      F.lit(True).alias("_in_catalog"))
-    return bounded_broadcast(side, size_bound(cur, "key", "title", "artist", "genre"))
+class CatalogSide:
+    """The lookup side of the catalog as it stands at a micro-batch.
+
+    The state is read once per version and kept (in memory and on the executors' disks) until a
+    newer one is there; whether it is broadcast follows from the bound the catalog query
+    left with it.  A state without a version (written by ``upsert_batch`` alone) is known by its
+    newest batch and measured when it is read.
+    """
+
+    def __init__(self, paths: Paths):
+        self.paths, self.version, self.side, self.bound = paths, None, None, 0
+
+    def __call__(self, spark: SparkSession) -> DataFrame:
+        version = catalog_version(spark, self.paths)
+        if version is None and (ids := batches(spark, self.paths.catalog)[0]):
+            version = ids[-1], None
+        if self.side is None or version != self.version:
+            if self.side is not None:
+                self.side.unpersist()
+            cur = current_catalog(spark, self.paths) if version else None
+            if cur is None:
+                cur = spark.createDataFrame([], "key string, title string, artist string, genre string")
+            self.version = version
+            self.side = cur.select(F.col("key").alias("_track_key"), "title", "artist", "genre",
+                                   F.lit(True).alias("_in_catalog")).persist()
+            self.bound = version[1] if version else 0
+            if self.bound is None:
+                self.bound = size_bound(self.side, "_track_key", "title", "artist", "genre")
+        return bounded_broadcast(self.side, self.bound)
 
 
 def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
@@ -239,11 +305,11 @@ def start_top(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
               ) -> StreamingQuery:
     counts = top_country.listen_counts(valid.withWatermark("event_time", grace), size, slide)
     out_path = paths.out("top_by_country")
-    write = upsert_batch(out_path, C.UPSERT_KEYS["top_by_country"])
+    write = upsert_batch(out_path, C.UPSERT_KEYS["top_by_country"], grace=grace)
+    catalog_now = CatalogSide(paths)
 
     def enrich_and_write(batch: DataFrame, batch_id: int) -> None:
-        side = catalog_side_now(batch.sparkSession, paths)
-        enriched = top_country.enrich(batch, side)
+        enriched = top_country.enrich(batch, catalog_now(batch.sparkSession))
         if paths.kafka is None:
             write(enriched, batch_id)
         else:   # at-least-once, like the Kafka sink itself
@@ -270,7 +336,7 @@ def start_royalties(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger()
     per_artist = paid.groupBy("artist").agg(F.count(F.lit(1)).alias("paid_streams"))
     out = per_artist.select("artist", "paid_streams",
                             royalties.money(F.col("paid_streams")).alias("total"))
-    return _upsert(out, "royalties", paths, trigger)
+    return upsert(out, "royalties", paths, trigger)
 
 
 def start_fraud(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
@@ -279,7 +345,7 @@ def start_fraud(valid: DataFrame, paths: Paths, trigger: Trigger = Trigger(),
     counts = fraud.complete_counts(valid.withWatermark("event_time", grace), window_minutes)
     out = (counts.filter(F.col("count") > threshold)
                  .select("user_id", "track_id", "count", *window_bounds()))
-    return _upsert(out, "fraud_alerts", paths, trigger)
+    return upsert(out, "fraud_alerts", paths, trigger, grace)
 
 
 KINDS = ("skip_rate", "top_by_country", "royalties", "fraud_alerts")
@@ -310,7 +376,7 @@ def run(spark: SparkSession, raw_stream: DataFrame, paths: Paths,
             q.awaitTermination()
     valid = valid_stream(spark, paths, schema, max_files)
     if paths.kafka is not None:
-        started.append(start_dlq_to_kafka(spark, paths, schema, trigger))
+        started.append(start_dlq_to_kafka(spark, paths, schema, trigger, max_files))
     starters = {"skip_rate": start_skip_rate, "top_by_country": start_top,
                 "royalties": start_royalties, "fraud_alerts": start_fraud}
     options = {"royalties": {"dedup_ttl": dedup_ttl},

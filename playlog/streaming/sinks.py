@@ -5,7 +5,9 @@
   writes each micro-batch to its own ``_batch=<id>`` folder, so a batch replayed after a
   failure replaces its own files (idempotent), and every so often a batch holds the whole
   state; ``read_table`` takes the newest row per key (``max_by`` over the batch id) from
-  there on: the table's current state.
+  there on: the table's current state.  Rows of windows that the watermark has passed are
+  final: they move once to folders by window day, which are never written again, so what
+  a batch writes is bounded by the open windows, not by the table's age.
 * The dead-letter output is append-only (exactly-once through the file sink's log).
 * ``publish`` shapes a keyed output as the contract's records; ``to_kafka`` any output as Kafka ``key``/``value`` text for the Kafka sink
   (the connector jar is not bundled here; the shaping is plain columns).
@@ -17,6 +19,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlog import contract as C
 from playlog.functions.jsonparse import to_json_text
@@ -24,17 +27,47 @@ from playlog.functions.jsonparse import to_json_text
 BATCH_COL = "_batch"
 BASE_MARK = "_whole_state"
 COMPACT_EVERY = 32
+CLOSED, DAY = "_closed", "_day"
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
+    """A path and its file system."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def numbered(spark: SparkSession, path: str) -> list[int]:
+    """The files of a folder whose names are numbers, ascending."""
+    root, fs = folder(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file in one go: it appears under its name when it is complete."""
+    target, fs = folder(spark, path)
+    part, _ = folder(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"{path} could not be written")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    target, fs = folder(spark, path)
+    source = fs.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def batches(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
     """(ids of the batches of an upsert table, those among them that hold the whole state),
     both ascending; empty if nothing was written yet."""
-    root, fs = _folder(spark, path)
+    root, fs = folder(spark, path)
     if not fs.exists(root):
         return [], []
     ids, full = [], []
@@ -58,8 +91,12 @@ def _newest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def upsert_batch(path: str, keys: Sequence[str] | None = None, every: int = COMPACT_EVERY
-                 ) -> Callable[[DataFrame, int], None]:
+def _instant(c: str):
+    return F.col(c).cast("timestamp")
+
+
+def upsert_batch(path: str, keys: Sequence[str] | None = None, every: int = COMPACT_EVERY,
+                 grace: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing one folder per micro-batch; a replayed batch
     replaces its own.
 
@@ -68,6 +105,11 @@ def upsert_batch(path: str, keys: Sequence[str] | None = None, every: int = COMP
     before that goes, so a reader that has just listed the folders keeps its files for
     ``every`` batches, and a table has at most 2 * ``every`` + 1 folders.  Without ``keys``
     there is no state to merge and every batch stays.
+
+    ``grace`` (the query's watermark delay) is for tables with ``window_start`` and
+    ``window_end``.  A row of an earlier batch tells that its watermark is not before its
+    window's start less the grace; windows that ended by then get no more updates, and leave the
+    state for ``_closed/_batch=<id>/_day=<window day>``.
     """
     path = path.rstrip("/")
 
@@ -75,35 +117,53 @@ def upsert_batch(path: str, keys: Sequence[str] | None = None, every: int = COMP
         spark = batch.sparkSession
         ids, full = batches(spark, path)
         ids, full = [i for i in ids if i < batch_id], [i for i in full if i < batch_id]
-        whole = keys is not None and bool(ids) and batch_id % every == 0
-        rows = batch
-        if whole:
-            start = full[-1] if full else ids[0]
-            rows = _newest(_read(spark, path, [i for i in ids if i >= start]).unionByName(
-                batch.withColumn(BATCH_COL, F.lit(batch_id))), keys)
         leaf = f"{path}/{BATCH_COL}={batch_id}"
-        rows.write.mode("overwrite").parquet(leaf)
-        if whole:
-            mark, fs = _folder(spark, f"{leaf}/{BASE_MARK}")
-            fs.create(mark).close()
-            for i in [i for i in ids if full and i < full[-1]]:
-                old, fs = _folder(spark, f"{path}/{BATCH_COL}={i}")
-                fs.delete(old, True)
+        if keys is None or not ids or batch_id % every:
+            batch.write.mode("overwrite").parquet(leaf)
+            return
+        since = _read(spark, path, [i for i in ids if not full or i >= full[-1]])
+        state = _newest(since.unionByName(batch.withColumn(BATCH_COL, F.lit(batch_id))), keys)
+        if grace:
+            # merged once, then split; the micro-batch itself is read only once
+            merged, fs = folder(spark, f"{path}/_merged/{batch_id}")
+            state.write.mode("overwrite").parquet(str(merged))
+            state = spark.read.schema(batch.schema).parquet(str(merged))
+            settled = since.where(F.col(BATCH_COL) <= batch_id - 2).agg(F.unix_micros(
+                F.max(_instant("window_start")) - F.expr(f"INTERVAL {grace}")).alias("h")).first()["h"]
+            done = F.coalesce(F.unix_micros(_instant("window_end")) <= F.lit(settled), F.lit(False))
+            (state.where(done).withColumn(DAY, F.substring("window_start", 1, 10)).write
+             .mode("overwrite").partitionBy(DAY).parquet(f"{path}/{CLOSED}/{BATCH_COL}={batch_id}"))
+            state.where(~done).write.mode("overwrite").parquet(leaf)
+            fs.delete(merged, True)
+        else:
+            state.write.mode("overwrite").parquet(leaf)
+        mark, fs = folder(spark, f"{leaf}/{BASE_MARK}")
+        fs.create(mark).close()
+        for i in [i for i in ids if full and i < full[-1]]:
+            old, fs = folder(spark, f"{path}/{BATCH_COL}={i}")
+            fs.delete(old, True)
     return write
 
 
+def read_closed(spark: SparkSession, path: str, until: int, schema: T.StructType) -> DataFrame | None:
+    """The final rows that batches up to ``until`` moved, with their window day as ``_day``."""
+    ids = [i for i in batches(spark, f"{path}/{CLOSED}")[0] if i <= until]
+    if not ids:
+        return None
+    whole = T.StructType([*schema.fields, T.StructField(BATCH_COL, T.IntegerType()),
+                          T.StructField(DAY, T.StringType())])
+    return (spark.read.schema(whole).option("basePath", f"{path}/{CLOSED}")
+            .parquet(*[f"{path}/{CLOSED}/{BATCH_COL}={i}" for i in ids]).drop(BATCH_COL))
+
+
 def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Current state of an upserted table: the newest row of every key since the newest
-    batch that holds the whole state."""
+    batch that holds the whole state, and the rows that were final by then."""
     path = path.rstrip("/")
     ids, full = batches(spark, path)
-    return _newest(_read(spark, path, [i for i in ids if not full or i >= full[-1]]), keys)
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str], out_path: str) -> DataFrame:
-    """Write the current state once, as one batch, to another place."""
-    upsert_batch(out_path)(read_table(spark, path, keys), 0)
-    return spark.read.parquet(out_path).drop(BATCH_COL)
+    state = _newest(_read(spark, path, [i for i in ids if not full or i >= full[-1]]), keys)
+    closed = read_closed(spark, path, full[-1], state.schema) if full else None
+    return state if closed is None else state.unionByName(closed.drop(DAY))
 
 
 def to_kafka(df: DataFrame, key_cols: Sequence[str], sep: str = "|") -> DataFrame:
