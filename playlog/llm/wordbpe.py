@@ -19,7 +19,7 @@ from unicodedata import category, is_normalized
 import numpy as np
 
 #: Words remembered by a worker, and the longest of them; beyond, words are worked out anew.
-MEMORY = 300_000
+MEMORY = 600_000
 LONGEST = 64
 #: Characters of a text that are cut at a time, up to the next space.
 PART = 1 << 18
