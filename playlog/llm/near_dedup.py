@@ -10,8 +10,10 @@
    estimated by counting equal low bits, is not far below it.
 5. The pairs left are confirmed on full sets, made anew from the whole texts.
 6. Components of the confirmed links; then each bucket in which several components meet is
-   compared across components by low bits, in blocks, and those pairs are confirmed too.
-   So every pair that shares a bucket is linked, in one component, or compared.
+   compared across components by low bits, in blocks.  A block names the classes that have
+   a candidate, gets their texts, and returns the confirmed links that join what was apart.
+   So every pair that shares a bucket is linked, in one component, or compared, and no
+   list of pairs is ever written: a block's rows are at most its classes.
 
 With 24 bands of 4 rows a pair at similarity 0.8 shares no band with probability 3e-6; the
 low-bit estimate may lie 0.09 below the threshold, five standard deviations of 512 hashes.
@@ -19,7 +21,8 @@ low-bit estimate may lie 0.09 below the threshold, five standard deviations of 5
 Defined results: a null text counts as empty; texts without words have an empty set and are
 linked with nothing; shorter texts are one shingle; repeated rows are linked; rows with a
 null key belong to their class but a component is named by its smallest key that is not
-null; an empty table gives an empty result; extra columns are not read.
+null, and `kept` is null for a row without a key; whole texts of any length are read; an
+empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -72,9 +75,10 @@ def low_bits(minima: np.ndarray, bits: int) -> np.ndarray:
     """(texts, words) the lowest `bits` of each minimum, packed into 64-bit words."""
     per = 64 // bits
     n, k = minima.shape
-    low = np.zeros((n, -(-k // per) * per), _U)
+    words = -(-k // per)
+    low = np.zeros((n, words * per), _U)
     low[:, :k] = minima & _U((1 << bits) - 1)
-    low = low.reshape(n, -1, per) << (np.arange(per, dtype=_U) * _U(bits))
+    low = low.reshape(n, words, per) << (np.arange(per, dtype=_U) * _U(bits))
     return np.bitwise_or.reduce(low, axis=2).view(np.int64)
 
 
@@ -179,107 +183,125 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, threshold
         "a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def confirmed_in_blocks(pairs: DataFrame, texts: DataFrame, n: int, lower: bool,
-                        threshold: int) -> DataFrame:
-    """Links among `across`' pairs that join what was apart.  A block's texts come once, not with
-    each pair, and a pair whose ends the block has joined already is skipped."""
-    block = ["bucket", "i", "j"]
-    named = [F.col(c).alias(f"of_{c}") for c in block]
-    need = pairs.select(*named, F.explode(F.array("a", "b")).alias("h")).distinct()
+BLOCK_KEY = ["bucket", "i", "j"]
 
-    def check(_, found, known):
-        own, name, links = {}, {}, []
-        _sets_by_hash(known["h"].to_pylist(), known["text"], n, lower, own)
-
-        def root(x):
-            while name.setdefault(x, x) != x:
-                name[x] = x = name[name[x]]
-            return x
-
-        for x, y in zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True):
-            if root(x) != root(y) and _similar(own[x], own[y], threshold):
-                name[root(y)] = root(x)
-                links.append((x, y))
-        return pa.table({c: pa.array([k[i] for k in links], pa.int64())
-                         for i, c in enumerate(("a", "b"))})
 
-    return pairs.groupBy(*block).cogroup(
-        need.join(texts, "h").groupBy(*(f"of_{c}" for c in block))).applyInArrow(check, "a long, b long")
-
-
-def across(members: DataFrame, threshold: int, bits: int, hashes: int, block: int) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and may be linked.
+def dealt(members: DataFrame, block: int) -> DataFrame:
+    """Classes of buckets in which several components meet, dealt to blocks.
 
     `members` has bucket, band, h, label, n_shingles, bits, bands.  Buckets of one component
-    need nothing; others are compared block by block, whose rows stand side by side in one
-    task.  Blocks are bounded by classes and by their shingles, so that a block's texts fit a
-    worker.  A pair comes from the first band alone whose bucket it shares."""
+    need nothing.  Blocks are bounded by classes and by their shingles, so that a block's
+    texts fit a worker; each class stands once in every pair of blocks it belongs to."""
     met = members.groupBy("bucket").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.min("label").alias("low"),
         F.max("label").alias("high")).where("low <> high").select("bucket", F.expr(
             f"cast(least(n, ceil(greatest(n / {block}, size / {SHINGLES}))) AS int)").alias("blocks"))
-    dealt = members.join(met, "bucket").withColumn(
+    return members.join(met, "bucket").withColumn(
         "i", F.expr("cast(pmod(xxhash64(h, 1), blocks) AS int)")
     ).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
         (F.col("i") <= F.col("j")).alias("left"), "h", "label", "n_shingles", "bits",
         F.slice("bands", F.lit(1), F.col("band")).alias("earlier"))
-    need = least_equal(threshold / 100, hashes, bits)
-    lane = np.array([_lanes(bits)], np.int64).view(_U)[0]
-    padded = -(-hashes // (64 // bits)) * (64 // bits) - hashes
 
-    def compare(t: pa.Table) -> list[tuple[int, int]]:
-        """Pairs of one block of one bucket."""
+
+class Candidates:
+    """Pairs of a block's classes whose labels differ and whose sizes and low bits allow the
+    threshold.  A pair comes from the first band alone whose bucket it shares."""
+
+    def __init__(self, threshold: int, bits: int, hashes: int):
+        self.threshold, self.bits = threshold, bits
+        self.need = least_equal(threshold / 100, hashes, bits)
+        self.lane = np.array([_lanes(bits)], np.int64).view(_U)[0]
+        self.padded = -(-hashes // (64 // bits)) * (64 // bits) - hashes
+
+    def __call__(self, t: pa.Table):
+        """(place, places it is to be compared with) in the rows of one block."""
         h, label = t["h"].to_numpy(), t["label"].to_numpy()
         size, left = t["n_shingles"].to_numpy(), t["left"].to_numpy(zero_copy_only=False)
         w = np.array(t["bits"].to_pylist(), np.int64).view(_U)
         earlier = np.array(t["earlier"].to_pylist(), np.int64).reshape(len(h), -1)
         same = t["i"][0].as_py() == t["j"][0].as_py()
         y = np.arange(len(h)) if same else np.flatnonzero(~left)
-        out = []
         for x in (np.arange(len(h)) if same else np.flatnonzero(left)).tolist():
             d = w[y] ^ w[x]
             u = d.copy()
-            for k in range(1, bits):
+            for k in range(1, self.bits):
                 u |= d >> _U(k)
-            lanes = np.bitwise_count(u & lane).sum(axis=1, dtype=np.int64)
-            equal = w.shape[1] * (64 // bits) - lanes - padded
-            ok = (equal >= need) & (label[y] != label[x]) & (
-                100 * np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x]))
+            lanes = np.bitwise_count(u & self.lane).sum(axis=1, dtype=np.int64)
+            equal = w.shape[1] * (64 // self.bits) - lanes - self.padded
+            ok = (equal >= self.need) & (label[y] != label[x]) & (
+                100 * np.minimum(size[y], size[x]) >= self.threshold * np.maximum(size[y], size[x]))
             if same:
                 ok &= y > x
             ok[ok] = ~(earlier[y[ok]] == earlier[x]).any(axis=1)
-            out += [(min(h[x], k), max(h[x], k)) for k in h[y[ok]].tolist()]
-        return out
+            if ok.any():
+                yield x, y[ok]
 
-    def pairs(batches):
-        names = ["bucket", "i", "j"]
+
+def compared(blocks: DataFrame, candidates: Candidates) -> DataFrame:
+    """bucket, i, j, h: the classes of each block that have a candidate there, once each, so
+    no block gives more rows than it has classes."""
+    def needed(batches):
         rest = None
         for b in batches:
             t = pa.Table.from_batches([b])
             rest = t if rest is None else pa.concat_tables([rest, t])
-            ids = np.stack([rest[c].to_numpy() for c in names])
+            ids = np.stack([rest[c].to_numpy() for c in BLOCK_KEY])
             cuts = np.flatnonzero(np.any(ids[:, 1:] != ids[:, :-1], axis=0)) + 1
             at = 0
             for c in cuts.tolist():
-                yield from emit(rest.slice(at, c - at))
+                yield emit(rest.slice(at, c - at))
                 at = c
             rest = rest.slice(at)
         if rest is not None and len(rest):
-            yield from emit(rest)
+            yield emit(rest)
 
     def emit(t):
-        found = compare(t)
-        if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t[c][0].as_py()] * len(found), k) for c, k in (
-                    ("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()))]
-                + [pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                ["bucket", "i", "j", "a", "b"])
+        mark = np.zeros(len(t), bool)
+        for x, y in candidates(t):
+            mark[x] = mark[y] = True
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t[c].to_numpy()[mark], kind) for c, kind in (
+                ("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("h", pa.int64()))],
+            [*BLOCK_KEY, "h"])
+
+    return blocks.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(
+        needed, "bucket long, i int, j int, h long")
+
+
+def linked_in_blocks(blocks: DataFrame, needed: DataFrame, texts: DataFrame, candidates: Candidates,
+                     n: int, lower: bool, threshold: int) -> DataFrame:
+    """Links among the blocks' candidates that join what was apart, confirmed on full sets.
+
+    A block's classes and the texts it needs meet in one task, which finds the candidates
+    again, skips those it has joined already and returns at most one link less than it has
+    classes."""
+    of = [f"of_{c}" for c in BLOCK_KEY]
+
+    def check(_, found, known):
+        own, name, links = {}, {}, []
+        if len(found) and len(known):
+            _sets_by_hash(known["h"].to_pylist(), known["text"], n, lower, own)
+            h, label = found["h"].to_pylist(), found["label"].to_pylist()
+
+            def root(x):
+                while name.setdefault(x, x) != x:
+                    name[x] = x = name[name[x]]
+                return x
+
+            for x, ys in candidates(found):
+                for y in ys.tolist():
+                    a, b = root(label[x]), root(label[y])
+                    if a != b and _similar(own[h[x]], own[h[y]], threshold):
+                        name[b] = a
+                        links.append((h[x], h[y]))
+        return pa.table({c: pa.array([k[i] for k in links], pa.int64())
+                         for i, c in enumerate(("a", "b"))})
 
-    return dealt.repartition("bucket", "i", "j").sortWithinPartitions(
-        "bucket", "i", "j").mapInArrow(pairs, "bucket long, i int, j int, a long, b long")
+    some = blocks.join(needed.select(*BLOCK_KEY).distinct(), BLOCK_KEY, "left_semi")
+    with_texts = needed.join(texts, "h").withColumnsRenamed(dict(zip(BLOCK_KEY, of)))
+    return some.groupBy(*BLOCK_KEY).cogroup(with_texts.groupBy(*of)).applyInArrow(
+        check, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool = True,
@@ -314,10 +336,11 @@ def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool
     of_label = classes.select("h", "n_shingles", "bits", "bands").join(
         labels.withColumnRenamed("v", "h"), "h", "left").withColumn(
         "label", F.coalesce("label", "h"))
-    second = staged(across(members.drop("n").join(of_label, "h"), threshold, bits, hashes,
-                           block), "near-dedup-pairs")
-    if not second.isEmpty():
-        more = staged(confirmed_in_blocks(second, texts, words, lower, threshold),
+    candidates = Candidates(threshold, bits, hashes)
+    blocks = staged(dealt(members.drop("n").join(of_label, "h"), block), "near-dedup-blocks")
+    needed = staged(compared(blocks, candidates), "near-dedup-needed")
+    if not needed.isEmpty():
+        more = staged(linked_in_blocks(blocks, needed, texts, candidates, words, lower, threshold),
                       "near-dedup-links")
         if not more.isEmpty():
             labels = components(links.union(more))
