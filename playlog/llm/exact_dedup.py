@@ -89,8 +89,9 @@ def _rows(docs: DataFrame, key: str, text: str, digest: Callable[[Column], Colum
                         *["t"] * texts)
 
 
-#: What a class keeps of its rows: the least of these is the row that stays.
-_STAYS = F.struct((-F.col("n_chars")).alias("shorter"), "key", "locator")
+def _stays() -> Column:
+    """What a class keeps of its rows: the least of these is the row that stays."""
+    return F.min(F.struct((-F.col("n_chars")).alias("shorter"), "key", "locator")).alias("stays")
 
 
 def _drain(stream: DataFrame, checkpoint: str, **sink) -> None:
@@ -123,7 +124,7 @@ def exact_dedup(spark: SparkSession, files: str, key: str = "doc_id", text: str
     narrow = _rows(source.parquet(files), key, text, digest)
     _drain(narrow, f"{root}/_rows", format="parquet", path=f"{root}/rows")
     grouped = spark.readStream.schema(narrow.schema).parquet(f"{root}/rows").groupBy(
-        "digest").agg(F.min(_STAYS).alias("stays"), F.count(F.lit(1)).alias("group_size"))
+        "digest").agg(_stays(), F.count(F.lit(1)).alias("group_size"))
     _drain(grouped, f"{root}/_classes", format="noop", outputMode="update")
 
     rows = spark.read.schema(narrow.schema).parquet(f"{root}/rows")
@@ -144,7 +145,7 @@ def exact_dedup(spark: SparkSession, files: str, key: str = "doc_id", text: str
 def _by_text(texts: DataFrame) -> DataFrame:
     """The verdicts on rows whose digests stand for several texts."""
     classes = texts.groupBy("digest", "t").agg(
-        F.min(_STAYS).alias("stays"), F.count(F.lit(1)).alias("group_size"))
+        _stays(), F.count(F.lit(1)).alias("group_size"))
     return _verdicts(texts, classes, ["digest", "t"])
 
 

@@ -140,7 +140,7 @@ def filled(lists: pa.ListArray, width: int) -> np.ndarray:
     held = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten().to_numpy()
     if (held == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(lists), width)
     out = np.zeros((len(lists), width), np.int64)
     out[np.arange(width) < held[:, None]] = flat
     return out
@@ -153,18 +153,19 @@ class Anchors:
         self.key, self.label = table["key"].to_numpy(), table["label"].to_numpy()
         self.whole = residues(filled(table["whole"].combine_chunks(), width), primes)
         self.width, self.primes = width, primes
+        self.rows_at_a_time, self.anchors_at_a_time = ROWS, ANCHORS
 
     def pairs(self, batches):
-        """For each part of the block and of the rows: the part's first anchor, the rows,
-        the scores, whether labels are equal, and whether the row is another than the anchor."""
-        for b in slices(batches, ROWS):
+        """For each part of the block and of the rows: the part (a slice), the rows, the scores,
+        whether labels are equal, and whether the row is another than the anchor."""
+        for b in slices(batches, self.rows_at_a_time):
             rows = Rows(b, self.width, self.primes)
-            for at in range(0, len(self.key), ANCHORS):
-                part = slice(at, at + ANCHORS)
+            for at in range(0, len(self.key), self.anchors_at_a_time):
+                part = slice(at, min(at + self.anchors_at_a_time, len(self.key)))
                 scores = products([m[part] for m in self.whole], rows.whole, self.primes)
                 alike = self.label[part, None] == rows.label[None, :]
                 other = (self.key[part, None] != rows.key[None, :]) | rows.null
-                yield at, rows, scores, alike, other
+                yield part, rows, scores, alike, other
 
 
 def _batch(best: Best, names: list[str]) -> pa.RecordBatch:
@@ -176,10 +177,10 @@ def _positives(anchors, k: int):
     def run(batches):
         block = anchors.value
         best = Best(len(block.key), k)
-        for at, rows, scores, alike, other in block.pairs(batches):
+        for part, rows, scores, alike, other in block.pairs(batches):
             masked = np.where(alike & other, scores, LOWEST)
-            i, j = top(masked, k, best.least[at:at + ANCHORS])
-            best.add(i + at, scores[i, j], rows.null[j], rows.key[j])
+            i, j = top(masked, k, best.least[part])
+            best.add(i + part.start, scores[i, j], rows.null[j], rows.key[j])
         yield _batch(best, ["anchor", "positive", "positive_score"])
     return run
 
@@ -189,17 +190,15 @@ def _negatives(anchors, bands, k: int):
     def run(batches):
         block, (anchor, least, most) = anchors.value, bands.value
         best = Best(len(anchor), k)
-        for at, rows, scores, alike, other in block.pairs(batches):
-            a, z = np.searchsorted(anchor, [at, at + ANCHORS])
-            if a == z:
-                continue
+        for part, rows, scores, alike, other in block.pairs(batches):
+            a, z = np.searchsorted(anchor, [part.start, part.stop])
             differs = other & ~alike
-            for nth in range(a, z, ANCHORS):
-                part = slice(nth, min(nth + ANCHORS, z))
-                of = anchor[part] - at
-                inside = differs[of] & (scores[of] <= most[part, None])
-                masked = np.where(inside, scores[of], LOWEST)
-                i, j = top(masked, k, np.maximum(least[part], best.least[part]))
+            for nth in range(a, z, block.anchors_at_a_time):
+                of = slice(nth, min(nth + block.anchors_at_a_time, z))
+                own = anchor[of] - part.start
+                inside = differs[own] & (scores[own] <= most[of, None])
+                masked = np.where(inside, scores[own], LOWEST)
+                i, j = top(masked, k, np.maximum(least[of], best.least[of]))
                 best.add(i + nth, masked[i, j], rows.null[j], rows.key[j])
         yield _batch(best, ["band", "negative", "negative_score"])
     return run
