@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playlog.llm.license_scan import LICENSES, SPELLINGS
+from playlog.llm.license_scan import SPELLINGS, licenses
 from playlog.llm.quality_rules import STOP_WORDS
 
 
@@ -10,11 +10,48 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _canonical(text: str) -> str:
-    t = rf"regexp_replace(lower({text}), '(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*', '\1', 'g')"
+def _is_notice(line: str) -> str:
+    """A line that names a holder's copyright, or reserves all rights."""
+    start = f"ltrim({line}, ' ' || chr(9))"
+    return (rf"(regexp_matches({start}, '^copyright[ \t]*(\(c\)|©)') "
+            rf"OR regexp_matches({start}, '^copyright[ \t]+[\[<{{(]?(yyyy|year|[0-9][0-9][0-9][0-9])') "
+            rf"OR regexp_matches({start}, '^(\(c\)|©)[ \t]*[0-9][0-9][0-9][0-9]') "
+            f"OR regexp_matches({start}, '^all rights reserved[. \t]*$'))")
+
+
+def _canonical(text: str, notices: bool = False) -> str:
+    t = f"lower({text})"
+    if not notices:
+        t = (f"array_to_string(list_filter(string_split({t}, chr(10)), "
+             f"lambda l: NOT {_is_notice('l')}), chr(10))")
+    t = rf"' ' || regexp_replace({t}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' '"
     for a, b in SPELLINGS:
         t = f"replace({t}, {_text(a)}, {_text(b)})"
-    return rf"nullif(trim(regexp_replace({t}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')), '')"
+    return f"nullif(trim({t}), '')"
+
+
+def _license_digests() -> str:
+    rows = ", ".join(f"({_text(n)}, {_text(t)})" for n, t in licenses())
+    return rf"""
+WITH text_of AS (SELECT l, t FROM (VALUES {rows}) AS v(l, t)),
+known AS (
+  SELECT digest, min(l) AS license FROM (
+    SELECT l, sha256({_canonical("t")}) AS digest FROM text_of
+    UNION ALL SELECT l, sha256({_canonical("t", True)}) FROM text_of)
+  WHERE digest IS NOT NULL GROUP BY 1),
+d AS (
+  SELECT doc_id, sha256({_canonical("text")}) AS digest, sha256({_canonical("text", True)}) AS other,
+         text FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+line AS (
+  SELECT DISTINCT doc_id, license FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)
+  JOIN known ON known.digest = sha256({_canonical("l")})),
+notice AS (
+  SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices FROM line GROUP BY doc_id)
+SELECT d.doc_id, d.digest, coalesce(a.license, b.license) AS license, coalesce(notices, '') AS notices
+FROM d LEFT JOIN known a ON a.digest = d.digest LEFT JOIN known b ON b.digest = d.other
+LEFT JOIN notice USING (doc_id)
+"""
 
 
 #: Pairs of documents that share a shingle, counted; the links; what each can reach.
@@ -81,25 +118,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-LICENSE_DIGESTS = rf"""
-WITH known AS (
-  SELECT sha256({_canonical("t")}) AS digest, min(l) AS license
-  FROM (VALUES {", ".join(f"({_text(n)}, {_text(t)})" for n, t in LICENSES)}) AS v(l, t)
-  GROUP BY 1),
-d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-line AS (
-  SELECT DISTINCT doc_id, license FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)
-  JOIN known ON known.digest = sha256({_canonical("l")})),
-notice AS (
-  SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices FROM line GROUP BY doc_id)
-SELECT d.doc_id, sha256({_canonical("d.text")}) AS digest, known.license,
-       coalesce(notices, '') AS notices
-FROM d LEFT JOIN known ON known.digest = sha256({_canonical("d.text")})
-LEFT JOIN notice USING (doc_id)
-"""
-
-
 #: Every anchor against every row, all in whole numbers.
 HARD_NEGATIVES = r"""
 WITH whole AS (
@@ -162,7 +180,7 @@ FROM scored WHERE score > 0 QUALIFY rank <= 50
 def oracle() -> dict[str, str]:
     return {
         "op2_near_dedup": NEAR_DEDUP,
-        "op3_license_digests": LICENSE_DIGESTS,
+        "op3_license_digests": _license_digests(),
         "op5_quality_rules": QUALITY_RULES,
         "op11_hard_negatives": HARD_NEGATIVES,
         "op12_exact_dedup": EXACT_DEDUP,
