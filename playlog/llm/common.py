@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,3 +68,56 @@ def ranked(rows: DataFrame, by: list, order: list, k: int, salts: int = 64) -> D
         Window.partitionBy(*by, "_salt").orderBy(*order))).where(F.col("rank") <= k)
     return near.drop("_salt").withColumn("rank", F.row_number().over(
         Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
+
+
+@functools.cache
+def _allocator():
+    """This process's C library, told to give large blocks back to the system when they are
+    freed; Arrow is told to use it.  None where there is no such library."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 4 << 20)   # M_MMAP_THRESHOLD: fixed, else it follows the largest block
+        trim = libc.malloc_trim
+    except (OSError, AttributeError):
+        return None
+    pa.set_memory_pool(pa.system_memory_pool())
+    return trim
+
+
+def release() -> None:
+    """Give freed memory back, so that a worker that waits for its next task holds little."""
+    if (trim := _allocator()) is not None:
+        trim(0)
+
+
+def lean(run):
+    """`run` for mapInArrow, giving back its memory at the end."""
+    def batches_of(batches):
+        _allocator()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return batches_of
+
+
+def lean_group(run):
+    """`run` for applyInArrow on groups, giving back its memory after each."""
+    def group(key, table):
+        _allocator()
+        try:
+            return run(key, table)
+        finally:
+            release()
+    return group
+
+
+def lean_cogroup(run):
+    """`run` for applyInArrow on pairs of groups, giving back its memory after each."""
+    def groups(key, left, right):
+        _allocator()
+        try:
+            return run(key, left, right)
+        finally:
+            release()
+    return groups

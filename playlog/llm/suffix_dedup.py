@@ -18,27 +18,34 @@ document of smaller key or earlier in the same one.  Strings never cross documen
 4. The repeated starts return to their documents as runs, whose union is removed.
 
 Work arrays are bounded by `PIECE` bytes of text or `BATCH` suffixes; a shard holds a hash
-share of the anchors.  Fingerprints are 64 bits and compared within a shard only.
-
-Defined results: a null text counts as empty; texts shorter than `length` lose nothing;
-rows of equal key are one document's versions, so neither copy starts earlier and equal rows keep
-or lose the same; a null key is smaller than any other; an empty table gives an empty
-result; extra columns are not read.
+share of the anchors.  Neighbouring anchors of equal hash, as in repetitive text, are one run
+with one surrounding.  Fingerprints are 64 bits and compared within a shard only: a match is not
+confirmed on bytes.  The levels serve one call; a later call starts anew.
+
+Defined results: a null text counts as empty; texts shorter than `length` lose nothing; whole
+texts of any length are read; rows of equal key (and `tie`) are one document's versions, so
+neither copy starts earlier and equal rows keep or lose the same; a null key is smaller than
+any other, or larger if asked; an empty table gives an empty result; extra columns are not
+read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlog.llm.common import shards, slices, text_of
+from playlog.llm.common import lean, lean_cogroup, lean_group, shards, slices, text_of
 from playlog.llm.shingles import mix
 
 GRAM = 32
 PIECE = 1 << 20
 BATCH = 1 << 19
+#: Starts of a run of surroundings.
+SEGMENT = 1 << 17
+#: Shards to a shuffle partition: a worker holds one shard at a time.
+SHARDS = 2
 _U = np.uint64
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 
@@ -91,6 +98,28 @@ def anchors(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(map(np.concatenate, (places, hashes, firsts, lasts)))
 
 
+def runs_of(h: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Anchors with neighbours of the same hash joined into runs of at most SEGMENT starts.  In
+    repetitive text every byte is an anchor, and each would bring its own surroundings."""
+    if not len(h):
+        return h, first, last
+    apart = (h[1:] != h[:-1]) | (first[1:] != last[:-1] + 1)
+    begin = np.flatnonzero(np.append(True, apart))
+    end = np.append(begin[1:], len(h)) - 1
+    h, first, last = h[begin], first[begin], last[end]
+    pieces = (last - first) // SEGMENT + 1
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    h, first, last = (np.repeat(x, pieces) for x in (h, first, last))
+    return h, first + nth * SEGMENT, np.minimum(first + (nth + 1) * SEGMENT - 1, last)
+
+
+def twice_at_most(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hashes, of a run of equal neighbouring anchors only two: it repeats anyway."""
+    same = np.append(False, (h[1:] == h[:-1]) & (first[1:] == last[:-1] + 1)) if len(h) else h > 0
+    third = same & np.append(False, same[:-1]) if len(h) else same
+    return h[~third]
+
+
 class Family:
     """Sorted levels of distinct fingerprints; levels of equal size class merge."""
 
@@ -147,26 +176,31 @@ def _schema(ddl: str) -> pa.Schema:
 
 _ANCHORS = "shard int, hash binary, doc binary"
 _REPEATED = "shard int, doc binary, hash binary"
-_AROUND = ("shard int, key binary, doc binary, start binary, count binary, size binary, "
+_AROUND = ("shard int, key binary, tie binary, doc binary, start binary, count binary, size binary, "
            "text binary")
 _RUNS = "shard int, doc binary, start binary, count binary"
 
 
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100,
-                 carry: tuple[str, ...] = ()) -> DataFrame:
+                 carry: tuple[str, ...] = (), tie: Column | None = None,
+                 nulls_last: bool = False) -> DataFrame:
     """`docs`' key and text (as bytes), with `runs`: binary pairs (start, end) of signed 64-bit
     integers, the maximal removed runs of the text's UTF-8 bytes; and, if columns to `carry`
-    are named, `rest`, a struct of theirs."""
+    are named, `rest`, a struct of theirs.
+
+    Documents are ordered by the key, null first or last, then by `tie`, a long that equal
+    rows must share; rows equal in both are one document's versions."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} at least")
-    n = shards(docs.sparkSession)
+    n = SHARDS * shards(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise ValueError("documents are ordered by an integer key")
     rest = [F.struct(*(docs[c] for c in carry)).alias("rest")] if carry else []
     #: h names a row's key and text; rows in which both are equal share one fate
     rows = docs.select(
-        docs[key].alias("key"), F.encode(text_of(text), "UTF-8").alias("text"), *rest
+        docs[key].alias("key"), F.encode(text_of(text), "UTF-8").alias("text"),
+        F.coalesce(F.lit(0) if tie is None else tie, F.lit(0)).cast("long").alias("tie"), *rest
     ).withColumn("h", F.xxhash64("key", "text")).withColumn(
         "shard", F.expr(f"cast(pmod(h, {n}) AS int)"))
 
@@ -176,7 +210,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             hs, owners, total = [], [], 0
             names = b.column(0).to_numpy()
             for i, t in enumerate(b.column(1)):
-                _, h, _, _ = anchors(np.frombuffer(t.as_buffer(), np.uint8), length)
+                _, h, first, last = anchors(np.frombuffer(t.as_buffer(), np.uint8), length)
+                h = twice_at_most(h, first, last)
                 hs.append(h)
                 owners.append(np.full(len(h), names[i], np.int64))
                 total += len(h)
@@ -210,21 +245,22 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         out, waiting, total, seen = [], [], 0, set()
 
         def flush():
-            part = [np.concatenate([w[i] for w in waiting]) for i in range(6)]
-            begin = np.cumsum(part[5]) - part[5]
-            data = np.frombuffer(b"".join(w[6] for w in waiting), np.uint8)
+            part = [np.concatenate([w[i] for w in waiting]) for i in range(7)]
+            begin = np.cumsum(part[6]) - part[6]
+            data = np.frombuffer(b"".join(w[7] for w in waiting), np.uint8)
             for s, m in _deal((part[0] >> _U(8)) % _U(n), n):
                 body = b"".join([data[a:a + k].tobytes() for a, k in zip(
-                    begin[m].tolist(), part[5][m].tolist(), strict=True)])
-                packed = _pack(key=part[1][m], doc=part[2][m], start=part[3][m],
-                               count=part[4][m].astype("<i4"), size=part[5][m].astype("<i4"))
-                out.append((s, packed["key"], packed["doc"], packed["start"], packed["count"],
+                    begin[m].tolist(), part[6][m].tolist(), strict=True)])
+                packed = _pack(key=part[1][m], tie=part[2][m], doc=part[3][m], start=part[4][m],
+                               count=part[5][m].astype("<i4"), size=part[6][m].astype("<i4"))
+                out.append((s, packed["key"], packed["tie"], packed["doc"], packed["start"], packed["count"],
                             packed["size"], pa.compress(body, codec="zstd", asbytes=True)))
             waiting.clear()
 
-        least = np.iinfo(np.int64).min
-        for name, k, t in zip(docs["h"].to_numpy(), docs["key"].to_pylist(), docs["text"],
-                              strict=True):
+        limits = np.iinfo(np.int64)
+        none = limits.max if nulls_last else limits.min
+        for name, k, order, t in zip(docs["h"].to_numpy(), docs["key"].to_pylist(),
+                                     docs["tie"].to_numpy(), docs["text"], strict=True):
             if name in seen:
                 continue
             seen.add(name)
@@ -234,14 +270,15 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             data = np.frombuffer(t.as_buffer(), np.uint8)
             _, h, first, last = anchors(data, length)
             hit = np.isin(h, hashes[a:b])
-            h, first, last = h[hit], first[hit], last[hit]
+            h, first, last = runs_of(h[hit], first[hit], last[hit])
             count = last - first + 1
             size = count + length - 1
             raw = data.tobytes()
             body = b"".join([raw[x:x + z] for x, z in zip(
                 first.tolist(), size.tolist(), strict=True)])
-            waiting.append((h, np.full(len(h), least if k is None else k, np.int64),
-                            np.full(len(h), name, np.int64), first, count, size, body))
+            waiting.append((h, np.full(len(h), none if k is None else k, np.int64),
+                            np.full(len(h), order, np.int64), np.full(len(h), name, np.int64),
+                            first, count, size, body))
             total += len(body)
             if total > 8 * PIECE:
                 flush()
@@ -254,23 +291,27 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         """One shard's suffixes in document order against the index family."""
         col = lambda c, kind: np.concatenate(
             [np.frombuffer(x.as_buffer(), kind) for x in t[c]])
-        key, doc, start = col("key", np.int64), col("doc", np.int64), col("start", np.int64)
+        key, tie, doc, start = (col(c, np.int64) for c in ("key", "tie", "doc", "start"))
         count, size = col("count", "<i4").astype(np.int64), col("size", "<i4").astype(np.int64)
         sizes = [int(np.frombuffer(x.as_buffer(), "<i4").sum()) for x in t["size"]]
         data = np.frombuffer(b"".join(
             pa.decompress(x.as_py(), decompressed_size=s, codec="zstd", asbytes=True)
             for x, s in zip(t["text"], sizes, strict=True)), np.uint8)
         begin = np.cumsum(size) - size
-        order = np.lexsort((start, key))
+        order = np.lexsort((start, tie, key))
         ends = np.cumsum(count[order])
+        #: a document's number, and whether it has several versions here
+        document = np.cumsum(np.append(True, (np.diff(key[order]) != 0) | (np.diff(tie[order]) != 0)))
+        head_of = np.searchsorted(document, document)
+        versions = np.bincount(document, doc[order] != doc[order][head_of])[document] > 0
         family, runs, at = Family(), [], 0
         while at < len(order):
-            #: a batch ends between documents, so that versions of one document meet in it
+            #: versions of one document meet in a batch; others end anywhere
             done = int(ends[at - 1]) if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + BATCH)))
-            while to < len(order) and key[order[to]] == key[order[to - 1]]:
+            while to < len(order) and versions[to] and document[to] == document[to - 1]:
                 to += 1
-            own = order[at:to]
+            own, number = order[at:to], document[at:to]
             body = np.concatenate([data[a:a + k] for a, k in zip(
                 begin[own].tolist(), size[own].tolist(), strict=True)])
             prints = rolling(body, length)
@@ -284,7 +325,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             fresh = np.append(True, s[1:] != s[:-1])
             head = np.maximum.accumulate(np.where(fresh, np.arange(len(s)), 0))
             who, where = owner[suffixes], start[own][owner[suffixes]] + within[suffixes]
-            k = key[own][who]
+            k = number[who]
             #: the earliest holder itself, and versions of its document that start there
             earliest = (k == k[head]) & (where == where[head])
             known = family.holds(s[fresh])
@@ -327,14 +368,14 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             "runs": pa.array([by.get(h, b"") for h in docs["h"].to_pylist()], pa.binary()),
             **({"rest": docs["rest"]} if carry else {})})
 
-    found = rows.select("h", "text").mapInArrow(find, _ANCHORS)
-    marks = found.groupBy("shard").applyInArrow(repeated, _REPEATED)
+    found = rows.select("h", "text").mapInArrow(lean(find), _ANCHORS)
+    marks = found.groupBy("shard").applyInArrow(lean_group(repeated), _REPEATED)
     carried = f", rest {rows.schema['rest'].dataType.simpleString()}" if carry else ""
-    grouped = rows.select("key", "text", "h", "shard", *rows.columns[2:-2]).groupBy("shard")
-    near = grouped.cogroup(marks.groupBy("shard")).applyInArrow(around, _AROUND)
-    runs = near.groupBy("shard").applyInArrow(scan, _RUNS)
-    return grouped.cogroup(runs.groupBy("shard")).applyInArrow(
-        remove, f"key {kind}, text binary, runs binary{carried}").withColumnRenamed("key", key)
+    dealt = rows.select("key", "text", "tie", "h", "shard", *["rest"] * bool(carry)).groupBy("shard")
+    near = dealt.cogroup(marks.groupBy("shard")).applyInArrow(lean_cogroup(around), _AROUND)
+    runs = near.groupBy("shard").applyInArrow(lean_group(scan), _RUNS)
+    return dealt.cogroup(runs.groupBy("shard")).applyInArrow(
+        lean_cogroup(remove), f"key {kind}, text binary, runs binary{carried}").withColumnRenamed("key", key)
 
 
 def without_runs(dedup: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -363,7 +404,7 @@ def without_runs(dedup: DataFrame, key: str = "doc_id") -> DataFrame:
                 ["key", "n_bytes", "n_removed", "n_spans", "kept", "text", *rest])
 
     return dedup.select(F.col(key).alias("key"), "text", "runs", *rest).mapInArrow(
-        cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary, "
+        lean(cut), f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary, "
              f"text string{carried}"
     ).withColumnRenamed("key", key)
 

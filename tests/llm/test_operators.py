@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -138,6 +139,31 @@ def test_quality_rules_reject_junk(spark):
     assert [r[1] for r in by_id(out, "kept")] == [True, False, False, False, False]
 
 
+def test_repetitive_text_takes_little_memory(spark):
+    """A megabyte of one byte, of a short period and of a ruled line: one run, not one surrounding
+    for each byte."""
+    text = np.frombuffer(b"a" * 1_000_000, np.uint8)
+    _, h, first, last = suffix_dedup.anchors(text, 100)
+    assert len(suffix_dedup.twice_at_most(h, first, last)) < 20
+    h, first, last = suffix_dedup.runs_of(h, first, last)
+    assert len(h) < 20 and int((last - first + 1).sum()) == 999_901
+    assert int((last - first + 100).sum()) < 1_010_000     # bytes brought along
+    rows = [(1, "a" * 300_000), (2, "ab" * 100_000), (3, "-" * 50_000 + "end"), (4, "a" * 99), (5, "a" * 300)]
+    out = suffix_dedup.without_runs(suffix_dedup.suffix_dedup(frame(spark, rows)))
+    assert by_id(out, "n_bytes", "n_removed", "n_spans") == [
+        (1, 300_000, 299_999, 1), (2, 200_000, 199_998, 1), (3, 50_003, 49_999, 1), (4, 99, 0, 0),
+        (5, 300, 300, 1)]
+
+
+def test_quality_rules_keep_columns_named_like_their_own(spark):
+    df = spark.createDataFrame([(1, "a b c", "w", 2, "x")],
+                               "doc_id long, _text string, _words string, _bits int, _Lines string")
+    out = quality_rules.quality_rules(df, text="_text")
+    row = out.first()
+    assert out.columns[:5] == df.columns and tuple(row)[:5] == (1, "a b c", "w", 2, "x")
+    assert row["n_words"] == 3 and not [c for c in out.columns if "of_input" in c]
+
+
 def test_word_bpe_counts_and_ids():
     from tokenizers import Tokenizer
 
@@ -301,6 +327,29 @@ def test_near_dedup(docs, empty, n, block):
     assert near_dedup.near_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("texts", [["", None, " \n\t"], [None] * 5, [""]])
+def test_near_dedup_of_empty_texts_only(spark, texts):
+    """A table, and so every slice of it, without a single word."""
+    rows = list(enumerate(texts))
+    out = near_dedup.near_dedup(frame(spark, rows).coalesce(1), words=4)
+    assert by_id(out, "n_shingles", "component_id", "kept") == [(i, 0, i, True) for i, _ in rows]
+
+
+def test_blocks_write_no_pairs(spark):
+    """Near copies of one text whose likenesses straddle the threshold: a block names a class
+    once and returns a spanning set of links, however many pairs are alike."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for at in rng.sample(range(120), 3):
+            w[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    out = near_dedup.near_dedup(frame(spark, rows), words=4, block=16)
+    same(by_id(out, "n_shingles", "component_id", "kept"), brute_components(rows, 4))
+
+
 def test_near_dedup_chains(spark):
     """Neighbours are linked, ends are not: no hub reaches all."""
     rng = random.Random(9)
@@ -316,11 +365,11 @@ def test_blocks_are_bounded_by_their_shingles(spark):
         rows, "bucket long, band int, h long, label long, n_shingles long, bits array<long>, "
               "bands array<long>")
     held = collections.defaultdict(set)
-    pairs = near_dedup.across(members, 80, 4, 512, near_dedup.BLOCK).collect()
-    for p in pairs:
-        held[p["i"], p["j"]] |= {p["a"], p["b"]}
-    assert sorted((p["a"], p["b"]) for p in pairs) == [
-        (a, b) for a in range(64) for b in range(a + 1, 64)]
+    blocks = near_dedup.dealt(members, near_dedup.BLOCK)
+    for r in near_dedup.compared(blocks, near_dedup.Candidates(80, 4, 512)).collect():
+        held[r["i"], r["j"]].add(r["h"])
+    met = {(a, b) for hs in held.values() for a in hs for b in hs if a < b}
+    assert met == {(a, b) for a in range(64) for b in range(a + 1, 64)}
     assert max(map(len, held.values())) < 32
 
 
@@ -514,6 +563,37 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.toxicity(docs, nothing).where("predicted = 1").isEmpty()
 
 
+@pytest.mark.parametrize("width", [60, 72, 80, 10**9])
+def test_licences_match_however_they_are_wrapped(spark, width):
+    """Whole texts as they are, wrapped anew, and below a title and a notice."""
+    whole = [(n, t) for n, t in license_scan.licenses() if "\n" in t]
+    names = {n for n, _ in whole}
+    assert {"MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only",
+            "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0"} <= names
+    rows = [(k, t) for k, (_, t) in enumerate(whole)]
+    rows += [(1000 + k, textwrap.fill(t, width, break_long_words=False, break_on_hyphens=False))
+             for k, (_, t) in enumerate(whole)]
+    mit = dict(license_scan.LICENSES[:1])["MIT"]
+    rows += [(3000, f"MIT License\n\nCopyright (c) 2019-2024 A. Holder\nAll rights reserved.\n\n{mit}"),
+             (3001, f"  (C) 2020 somebody\n{textwrap.fill(mit, min(width, 200))}"),
+             (3002, f"Copyright the lines of a body\n{mit}"), (3003, f"{mit} And more.")]
+    out = license_scan.license_scan(frame(spark, rows), license_scan.known(spark))
+    got = {r["doc_id"]: r["license"] for r in out.collect()}
+    for k, (name, _) in enumerate(whole):
+        assert (got[k], got[1000 + k]) == (name, name)
+    assert [got[3000 + i] for i in range(4)] == ["MIT", "MIT", None, None]
+
+
+def test_many_known_licences_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "KNOWN", 3)
+    known = license_scan.known(spark)
+    rows = [(1, dict(license_scan.LICENSES[:1])["MIT"]), (2, "none"), (3, "Licensed under CC BY 4.0.\nx")]
+    out = license_scan.license_scan(frame(spark, rows), known)
+    assert "Strategy: broadcast" not in out._jdf.queryExecution().analyzed().toString()
+    assert by_id(out, "license", "notices") == [
+        (1, "MIT", []), (2, None, []), (3, None, ["CC-BY-4.0"])]
+
+
 def test_fingerprints(docs, empty):
     rows = sorted(odd_rows(), key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
     out = fingerprints.chained(docs).collect()
@@ -549,7 +629,7 @@ def test_registered_queries():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
 
