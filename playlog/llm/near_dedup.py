@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog.llm import shingles
-from playlog.llm.common import slices, staged, text_of
+from playlog.llm.common import lean, lean_cogroup, slices, staged, text_of
 from playlog.llm.components import components
 
 BANDS, ROWS, BITS = 24, 4, 4
@@ -124,7 +124,7 @@ def sketches(docs: DataFrame, n: int, lower: bool, bands: int, rows: int, hashes
 
     rows_in = docs.select(docs[key].alias("key"), F.xxhash64(text_of(text)).alias("h"),
                           text_of(text).alias("text"))
-    return rows_in.mapInArrow(sketch, f"key {kind}, h long, n_shingles long, set binary, "
+    return rows_in.mapInArrow(lean(sketch), f"key {kind}, h long, n_shingles long, set binary, "
                                       "bands array<long>, bits array<long>")
 
 
@@ -180,7 +180,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, threshold
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").select(
-        "a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+        "a", "b", "text_a", "text_b").mapInArrow(lean(check), "a long, b long")
 
 
 BLOCK_KEY = ["bucket", "i", "j"]
@@ -266,7 +266,7 @@ def compared(blocks: DataFrame, candidates: Candidates) -> DataFrame:
             [*BLOCK_KEY, "h"])
 
     return blocks.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(
-        needed, "bucket long, i int, j int, h long")
+        lean(needed), "bucket long, i int, j int, h long")
 
 
 def linked_in_blocks(blocks: DataFrame, needed: DataFrame, texts: DataFrame, candidates: Candidates,
@@ -301,7 +301,7 @@ def linked_in_blocks(blocks: DataFrame, needed: DataFrame, texts: DataFrame, can
     some = blocks.join(needed.select(*BLOCK_KEY).distinct(), BLOCK_KEY, "left_semi")
     with_texts = needed.join(texts, "h").withColumnsRenamed(dict(zip(BLOCK_KEY, of)))
     return some.groupBy(*BLOCK_KEY).cogroup(with_texts.groupBy(*of)).applyInArrow(
-        check, "a long, b long")
+        lean_cogroup(check), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, threshold: int = 80, lower: bool = True,

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlog.llm import wordbpe
-from playlog.llm.common import shards, slices, staged, text_of
+from playlog.llm.common import lean, shards, slices, staged, text_of
 
 WINDOW = 4096
 #: Third lengths tried for each pair of a triple, and rounds of the least-squares solver.
@@ -193,15 +193,18 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, key: str, text: str
 
     def encode(batches):
         bpe = wordbpe.load(vocabulary)
-        for b in slices(batches):
-            ids = [bpe.encode(t.as_py()) + end for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array(ids, pa.binary())], ["row", "key", "n", "ids"])
+        try:
+            for b in slices(batches):
+                ids = [bpe.encode(t.as_py()) + end for t in b.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array(ids, pa.binary())], ["row", "key", "n", "ids"])
+        finally:
+            bpe.forget()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("key"),
                        text_of(text).alias("text"))
-    return rows.mapInArrow(encode, f"row long, key {kind}, n long, ids binary")
+    return rows.mapInArrow(lean(encode), f"row long, key {kind}, n long, ids binary")
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id",

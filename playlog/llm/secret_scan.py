@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlog.llm.common import slices, staged, text_of
+from playlog.llm.common import lean, slices, staged, text_of
 
 #: Kinds in their order, pattern, value group and least length of that group.
 KINDS = (
@@ -111,7 +111,7 @@ def found(docs: DataFrame, key: str, text: str, repository: str | None, owner: s
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("key"),
                        held_in.alias("repository"), docs[owner].alias("owner"),
                        text_of(text).alias("text"))
-    return rows.mapInArrow(search, f"row long, key {kinds[key]}, repository {kinds[repository]}, "
+    return rows.mapInArrow(lean(search), f"row long, key {kinds[key]}, repository {kinds[repository]}, "
                                    f"owner {kinds[owner]}, found array<{_SPAN}>")
 
 

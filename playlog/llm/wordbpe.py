@@ -232,6 +232,12 @@ class WordBpe:
                     map(self.piece_ids.__getitem__, found))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Drop the words and pieces remembered: a worker that waits should hold little."""
+        for memory in (self.ids, self.counts, self.piece_ids, self.piece_counts):
+            memory.clear()
+            memory.before = {}
+
     def count(self, text: str) -> int:
         total = 0
         for part in parts(text):

@@ -156,3 +156,21 @@ def test_rows_of_one_id_or_none_are_judged_one_by_one(spark):
         assert (r[0], *r[2:]) == (i, lang, s)
         assert (r[1] == text) == (s != "s0") and ("[secret]" in r[1]) == (s == "s0")
     assert corpus_pipeline.secrets(spark, cut.union(cut), "").count() == 2 * len(want)
+
+
+def test_rows_without_an_id_share_no_passage(spark):
+    """Two rows without an id are two documents: one of them keeps the passage, at whatever
+    place it stands, unless a row with an id has it."""
+    rng = random.Random(6)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    both, other = say(40), say(40)
+    rows = [(None, f"{both} {say(5)}", "en", "a"), (None, f"{both} {say(6)}", "en", "b"),
+            (None, f"{say(3)} {other} {say(7)}", "en", "c"), (9, f"{say(4)} {other} {say(8)}", "en", "d")]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["source"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    assert (both in got["a"]) != (both in got["b"])
+    assert other in got["d"] and other not in got["c"]
+    again = {r["source"]: r["text"] for r in corpus_pipeline.repeated_passages(
+        spark, docs.repartition(7), "").collect()}
+    assert again == got
