@@ -59,7 +59,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.suffix_dedup(docs, carry=("lang", "source"))
+    #: as for near copies, rows without an id come last and are documents of their own
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    found = suffix_dedup.suffix_dedup(docs, carry=("lang", "source"), tie=own, nulls_last=True)
     return suffix_dedup.without_runs(found).select("doc_id", "text", "rest.*").withColumn(
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
