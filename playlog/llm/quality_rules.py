@@ -12,6 +12,7 @@ called like a metric is replaced by the metric.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -118,13 +119,19 @@ def failed(rules) -> Column:
     return out
 
 
+#: Columns of `measures` that do not stay.
+INNER = ("_text", "_words", "_lines", "_shouts", "_bits", "_windows", "_alike", "_grams", "_places")
+
+
 def quality_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
-    """`docs` with every metric, `base_failed` and `kept`."""
-    out = docs
-    for layer in measures(text_of(text)):
+    """`docs` with every metric, `base_failed` and `kept`; input columns of those names give way
+    to them."""
+    aside = {c: f"{c}_of_input_{uuid.uuid4().hex}" for c in docs.columns if c.lower() in INNER}
+    out = docs.withColumnsRenamed(aside) if aside else docs
+    for layer in measures(text_of(aside.get(text, text))):
         out = out.withColumns(layer)
-    out = out.drop("_text", "_words", "_lines", "_shouts", "_bits", "_windows", "_alike",
-                   "_grams", "_places")
+    out = out.drop(*INNER)
+    out = out.withColumnsRenamed({v: k for k, v in aside.items()}) if aside else out
     out = (out.withColumn("base_failed", failed([r for r in rules if r.base]))
            .withColumn("kept", ~F.col("base_failed") & ~failed(rules)))
     #: a filter on the verdict must not be pushed below the layers, where every metric would
