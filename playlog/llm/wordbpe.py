@@ -19,7 +19,7 @@ from unicodedata import category, is_normalized
 import numpy as np
 
 #: Words remembered by a worker, and the longest of them; beyond, words are worked out anew.
-MEMORY = 600_000
+MEMORY = 300_000
 LONGEST = 64
 #: Characters of a text that are cut at a time, up to the next space.
 PART = 1 << 18
@@ -57,18 +57,19 @@ _PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 class Words(dict):
-    """word -> value; at most MEMORY words, the half looked up or made last and the half before."""
+    """word -> value; at most `times` MEMORY words, the half looked up or made last and the half
+    before."""
 
-    def __init__(self, make):
+    def __init__(self, make, times: int = 1):
         super().__init__()
-        self.make, self.before = make, {}
+        self.make, self.before, self.times = make, {}, times
 
     def __missing__(self, word):
         value = self.before.get(word)
         if value is None:
             value = self.make(word)
         if len(word) <= LONGEST:
-            if 2 * len(self) >= MEMORY:
+            if 2 * len(self) >= self.times * MEMORY:
                 self.before = dict(self)
                 self.clear()
             self[word] = value
@@ -156,8 +157,9 @@ class WordBpe:
         self.pattern = self._pattern(spec)
         self.ids = Words(self._ids)
         self.counts = Words(self._count)
-        self.piece_ids = Words(lambda p: self._packed(self._as_characters(p)))
-        self.piece_counts = Words(lambda p: self._merged(self._as_characters(p)))
+        #: plain text is most of a corpus, and its pieces are short
+        self.piece_ids = Words(lambda p: self._packed(self._as_characters(p)), times=2)
+        self.piece_counts = Words(lambda p: self._merged(self._as_characters(p)), times=2)
 
     @staticmethod
     def _pattern(spec: dict):
